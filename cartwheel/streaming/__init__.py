@@ -1,0 +1,6 @@
+"""Streaming.
+
+Nothing in scope consumes a stream: the source material works on fixed purchase histories split
+by week. This package is kept so the layout matches the other engines in the family; batch
+operators accept any DataFrame, including one produced inside ``foreachBatch``.
+"""
