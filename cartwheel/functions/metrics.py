@@ -62,15 +62,37 @@ def metrics_per_user(recs: DataFrame, truth: DataFrame, ks: Sequence[int],
 
     Returns ``user_id, k, n_hits, n_true`` and one column per metric.
     """
+    ks = _check_ks(ks)
+    r = recs.filter(F.col("rank") <= ks[-1]).select("user_id", "item_id", "rank")
+    hits = r.join(truth.select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
+    return _from_hits(hits, truth, ks, prices, users, nan_policy)
+
+
+def metrics_for_global_list(items: DataFrame, truth: DataFrame, ks: Sequence[int],
+                            prices: DataFrame | None = None, users: DataFrame | None = None,
+                            nan_policy: str = "zero") -> DataFrame:
+    """Same as ``metrics_per_user`` when every user gets the same ranked list ``item_id, rank``
+    (popularity). Hits come from joining the purchases with the list, broadcast (its length is
+    bounded by max(ks)), so the users x list rows are never built."""
+    ks = _check_ks(ks)
+    lst = items.filter(F.col("rank") <= ks[-1]).select("item_id", "rank")
+    hits = truth.select("user_id", "item_id").join(F.broadcast(lst), "item_id")
+    if users is not None:
+        hits = hits.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    return _from_hits(hits, truth, ks, prices, users, nan_policy)
+
+
+def _check_ks(ks: Sequence[int]) -> list[int]:
     ks = sorted({int(k) for k in ks})
     if not ks or ks[0] < 1:
         raise ValueError("ks must be positive integers")
-    max_k = ks[-1]
-    k_array = F.array(*[F.lit(k) for k in ks])
+    return ks
+
 
+def _from_hits(hits: DataFrame, truth: DataFrame, ks: list[int], prices: DataFrame | None,
+               users: DataFrame | None, nan_policy: str) -> DataFrame:
+    k_array = F.array(*[F.lit(k) for k in ks])
     truth_pairs = truth.select("user_id", "item_id")
-    r = recs.filter(F.col("rank") <= max_k).select("user_id", "item_id", "rank")
-    hits = r.join(truth_pairs, ["user_id", "item_id"], "left_semi")
     if prices is not None:
         hits = hits.join(prices.select("item_id", "price"), "item_id", "left")
         truth_priced = truth_pairs.join(prices.select("item_id", "price"), "item_id", "left")

@@ -87,21 +87,61 @@ def q(ctes: str, select: str) -> str:
 II_STD = neighbours_cte() + "," + ii_recs_cte(N_CANDIDATES, "cands")
 
 
-def weighted_random_sql(weighting: str, n: int = N_RECS, seed: int = SEED, draws: int = 64) -> str:
+def wrand_cte(name: str, weighting: str, n: int = N_RECS, seed: int = SEED, draws: int = 64,
+              measure: str = "count(*)") -> str:
     w = "CAST(round(ln(1 + m) * 1000000) AS BIGINT)" if weighting == "log" else "CAST(1 AS BIGINT)"
-    return q(f"""
-pop AS (SELECT item_id, count(*) AS m FROM train GROUP BY item_id),
-w AS (SELECT item_id, {w} AS w FROM pop),
-rng AS (SELECT item_id, CAST(sum(w) OVER (ORDER BY item_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi, w
-  FROM w WHERE w > 0),
-tot AS (SELECT max(hi) AS total FROM rng),
-draws AS (SELECT u.user_id, t.t,
-    ('0x' || substr(md5(concat_ws('|', u.user_id, t.t, {seed})), 1, 15))::BIGINT % tot.total AS v
-  FROM val_users u CROSS JOIN range(0, {draws}) t(t) CROSS JOIN tot),
-hit AS (SELECT d.user_id, r.item_id, min(d.t) AS t FROM draws d JOIN rng r ON d.v >= r.hi - r.w AND d.v < r.hi
-  GROUP BY 1, 2),
-ranked AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY t, item_id) AS rank FROM hit)""",
-             f"SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM ranked WHERE rank <= {n}")
+    return f"""
+{name}_pop AS (SELECT item_id, {measure} AS m FROM train GROUP BY item_id),
+{name}_w AS (SELECT item_id, {w} AS w FROM {name}_pop),
+{name}_rng AS (SELECT item_id, CAST(sum(w) OVER (ORDER BY item_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  AS BIGINT) AS hi, w FROM {name}_w WHERE w > 0),
+{name}_tot AS (SELECT max(hi) AS total FROM {name}_rng),
+{name}_draws AS (SELECT u.user_id, t.t,
+    ('0x' || substr(md5(concat_ws('|', u.user_id, t.t, {seed})), 1, 15))::BIGINT % tt.total AS v
+  FROM val_users u CROSS JOIN range(0, {draws}) t(t) CROSS JOIN {name}_tot tt),
+{name}_hit AS (SELECT d.user_id, r.item_id, min(d.t) AS t FROM {name}_draws d
+  JOIN {name}_rng r ON d.v >= r.hi - r.w AND d.v < r.hi GROUP BY 1, 2),
+{name} AS (SELECT * FROM (SELECT user_id, item_id, -CAST(t AS DOUBLE) AS score,
+    row_number() OVER (PARTITION BY user_id ORDER BY t, item_id) AS rank FROM {name}_hit) WHERE rank <= {n})"""
+
+
+def weighted_random_sql(weighting: str) -> str:
+    return q(wrand_cte("wr", weighting), "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM wr")
+
+
+def pop_cte(name: str, n: int, measure: str = "count(*)") -> str:
+    """Global top-n popular list ``item_id, rank`` and its per-user expansion ``<name>_recs``."""
+    return f"""
+{name} AS (SELECT * FROM (SELECT item_id, m AS score, row_number() OVER (ORDER BY round(m, 9) DESC, item_id) AS rank
+  FROM (SELECT item_id, CAST({measure} AS DOUBLE) AS m FROM train GROUP BY item_id)) WHERE rank <= {n}),
+{name}_recs AS (SELECT u.user_id, p.item_id, p.rank, p.score FROM val_users u CROSS JOIN {name} p)"""
+
+
+PREFILTER_CTE = """
+pf_st AS (SELECT item_id, count(DISTINCT user_id) AS n_users, sum(quantity) AS quantity, sum(sales_value) AS sales,
+  max(week_no) AS last_week FROM train GROUP BY item_id),
+pf_g AS (SELECT count(DISTINCT user_id) AS n, max(week_no) AS w FROM train),
+pf_kept AS (SELECT s.*, s.sales / s.quantity AS unit_price FROM pf_st s CROSS JOIN pf_g g
+  WHERE s.n_users <= 0.5 * g.n AND s.n_users >= 0.01 * g.n AND s.last_week > g.w - 52
+    AND s.sales / s.quantity >= 50.0 AND s.sales / s.quantity <= 20000.0),
+pf AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY quantity DESC, item_id) AS qty_rank FROM pf_kept)
+  WHERE qty_rank <= 1000)"""
+
+
+def weighted_mat_cte(name: str, kind: str) -> str:
+    """TF-IDF or BM25 weights of the training count matrix."""
+    head = f"""
+{name}_cnt AS (SELECT user_id, item_id, CAST(count(*) AS DOUBLE) AS q FROM train GROUP BY 1, 2),
+{name}_len AS (SELECT user_id, sum(q) AS len FROM {name}_cnt GROUP BY 1),
+{name}_st AS (SELECT count(*) AS n, avg(len) AS avg_len FROM {name}_len),
+{name}_df AS (SELECT item_id, count(*) AS df FROM {name}_cnt GROUP BY 1),"""
+    if kind == "tfidf":
+        w = "c.q * ln((s.n + 1.0) / (d.df + 1.0))"
+    else:
+        w = "ln(1.0 + (s.n - d.df + 0.5) / (d.df + 0.5)) * c.q * 2.2 / (c.q + 1.2 * (0.25 + 0.75 * l.len / s.avg_len))"
+    return head + f"""
+{name} AS (SELECT c.user_id, c.item_id, {w} AS weight FROM {name}_cnt c JOIN {name}_df d ON d.item_id = c.item_id
+  JOIN {name}_len l ON l.user_id = c.user_id CROSS JOIN {name}_st s)"""
 
 
 def metric_sql(metric: str) -> str:
@@ -154,3 +194,96 @@ SELECT k, CAST(count(*) AS BIGINT) AS n_users, round(avg(precision), 6) AS preci
   round(avg(ndcg), 6) AS ndcg, round(avg(ap), 6) AS ap, round(avg(rr), 6) AS rr,
   round(avg(money_recall), 6) AS money_recall FROM met GROUP BY k"""),
 }
+
+
+def _mean_cols(prefix: str = "") -> str:
+    return ", ".join(f"round(avg({m}), 6) AS {m}" for m in ("precision", "recall", "ndcg", "ap", "rr", "money_recall"))
+
+
+_SUMMARY_ALGOS = {"popular": "pop5_recs", "weighted_random": "wr", "uniform_random": "ur", "item_item": "ii5"}
+_SUMMARY_CTES = (neighbours_cte() + "," + ii_recs_cte(N_RECS, "ii5") + "," + pop_cte("pop5", N_RECS) + ","
+                 + wrand_cte("wr", "log") + "," + wrand_cte("ur", "uniform") + ","
+                 + ",".join(metrics_cte(rel, (3, 5), name=f"m_{alg}") for alg, rel in _SUMMARY_ALGOS.items()))
+_SUMMARY_SELECT = " UNION ALL ".join(
+    f"""SELECT '{alg}' AS algorithm,
+  round(avg(CASE WHEN k = 3 THEN precision END), 6) AS precision_at_3, round(avg(CASE WHEN k = 5 THEN precision END), 6) AS precision_at_5,
+  round(avg(CASE WHEN k = 3 THEN recall END), 6) AS recall_at_3, round(avg(CASE WHEN k = 5 THEN recall END), 6) AS recall_at_5
+FROM m_{alg}""" for alg in _SUMMARY_ALGOS)
+
+RECALL_KS = (10, 50, 200, 500, 1000)
+_CURVE_CTES = (neighbours_cte() + "," + ii_recs_cte(max(RECALL_KS), "ii_long") + "," + pop_cte("pop_long", max(RECALL_KS))
+               + "," + metrics_cte("pop_long_recs", RECALL_KS, name="mc_pop") + ","
+               + metrics_cte("ii_long", RECALL_KS, name="mc_ii"))
+
+# model grid of the best / worst report: (model_id, recs relation)
+_GRID = {"ii_k20_binary": "g_ii20", "ii_k5_binary": "g_ii5", "ii_k20_tfidf": "g_tf20", "ii_k20_bm25": "g_bm20",
+         "pop_count": "g_popc_recs", "pop_sales": "g_pops_recs", "wrand_seed1": "g_wr1", "wrand_seed2": "g_wr2"}
+_GRID_CTES = (neighbours_cte() + "," + ii_recs_cte(N_RECS, "g_ii20") + ","
+              + neighbours_cte(k=5, name="nb5") + "," + ii_recs_cte(N_RECS, "g_ii5", nbrs="nb5") + ","
+              + weighted_mat_cte("tfm", "tfidf") + "," + neighbours_cte("tfm", name="nbtf") + ","
+              + ii_recs_cte(N_RECS, "g_tf20", mat="tfm", nbrs="nbtf") + ","
+              + weighted_mat_cte("bmm", "bm25") + "," + neighbours_cte("bmm", name="nbbm") + ","
+              + ii_recs_cte(N_RECS, "g_bm20", mat="bmm", nbrs="nbbm") + ","
+              + pop_cte("g_popc", N_RECS) + "," + pop_cte("g_pops", N_RECS, "sum(sales_value)") + ","
+              + wrand_cte("g_wr1", "log", seed=1) + "," + wrand_cte("g_wr2", "log", seed=2) + ","
+              + ",".join(metrics_cte(rel, (N_RECS,), name=f"gm_{mid}") for mid, rel in _GRID.items()) + ",\nreport AS ("
+              + " UNION ALL ".join(f"SELECT '{mid}' AS model_id, avg(precision) AS value FROM gm_{mid}" for mid in _GRID)
+              + ")")
+
+SQL.update({
+    "eval_users": q("", """
+SELECT u.user_id, NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id) AS is_cold FROM val_users u"""),
+    "user_item_matrix": q("", "SELECT user_id, item_id, round(sum(quantity), 6) AS weight FROM train GROUP BY 1, 2"),
+    "prefilter_items": q(PREFILTER_CTE, """
+SELECT item_id, CAST(n_users AS BIGINT) AS n_users, round(quantity, 6) AS quantity, round(unit_price, 6) AS unit_price,
+  last_week, CAST(qty_rank AS BIGINT) AS qty_rank FROM pf"""),
+    "top_without_fake": q(PREFILTER_CTE + f""",
+ctrain AS (SELECT t.user_id, CASE WHEN k.item_id IS NOT NULL THEN t.item_id ELSE {FAKE_ITEM} END AS item_id
+  FROM train t LEFT JOIN pf k ON k.item_id = t.item_id),
+cmat AS (SELECT DISTINCT user_id, item_id, 1.0 AS weight FROM ctrain),""" + neighbours_cte("cmat", name="cnb") + ","
+                          + ii_recs_cte(6, "crecs", mat="cmat", nbrs="cnb", exclude_seen=False) + f""",
+fin AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY rank) AS rank FROM crecs
+  WHERE item_id <> {FAKE_ITEM})""", f"SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM fin WHERE rank <= {N_RECS}"),
+    "fill_popular": q(neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs5") + "," + pop_cte("pop5", N_RECS) + """,
+allc AS (SELECT user_id, item_id, rank AS r, 0 AS src FROM recs5
+  UNION ALL SELECT u.user_id, p.item_id, 1000 + p.rank AS r, 1 AS src FROM val_users u CROSS JOIN pop5 p
+  WHERE NOT EXISTS (SELECT 1 FROM recs5 x WHERE x.user_id = u.user_id AND x.item_id = p.item_id)),
+fin AS (SELECT user_id, item_id, src, row_number() OVER (PARTITION BY user_id ORDER BY r) AS rank FROM allc)""",
+                      f"""SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank,
+  CASE WHEN src = 0 THEN 'model' ELSE 'popular' END AS source FROM fin WHERE rank <= {N_RECS}"""),
+    "chunk_assign": q("""
+num AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders)""",
+                      "SELECT o_orderkey, CAST(row_no AS BIGINT) AS row_no, CAST((row_no - 1) // 1000 AS BIGINT) AS chunk_id FROM num"),
+    "chunk_manifest": q("""
+num AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders)""", """
+SELECT CAST((row_no - 1) // 1000 AS BIGINT) AS chunk_id, CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(min(row_no) AS BIGINT) AS first_row, CAST(max(row_no) AS BIGINT) AS last_row,
+  min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM num GROUP BY 1"""),
+    "recall_curve": q(_CURVE_CTES, """
+SELECT 'popular' AS generator, k, round(avg(recall), 6) AS recall FROM mc_pop GROUP BY k
+UNION ALL SELECT 'item_item' AS generator, k, round(avg(recall), 6) AS recall FROM mc_ii GROUP BY k"""),
+    "algorithm_summary": q(_SUMMARY_CTES, _SUMMARY_SELECT),
+    "best_worst": q(_GRID_CTES, """
+SELECT * FROM (SELECT 'best' AS side, CAST(row_number() OVER (ORDER BY round(value, 9) DESC, model_id) AS BIGINT) AS place,
+  model_id, round(value, 6) AS value FROM report) WHERE place <= 5
+UNION ALL SELECT * FROM (SELECT 'worst' AS side, CAST(row_number() OVER (ORDER BY round(value, 9), model_id) AS BIGINT) AS place,
+  model_id, round(value, 6) AS value FROM report) WHERE place <= 5"""),
+    "candidate_union": q(neighbours_cte() + "," + ii_recs_cte(50, "ii50") + "," + pop_cte("pop50", 50) + """,
+u AS (SELECT user_id, item_id, rank, 'item_item' AS source FROM ii50
+  UNION ALL SELECT user_id, item_id, rank, 'popular' AS source FROM pop50_recs)""", """
+SELECT user_id, item_id, CAST(min(rank) AS BIGINT) AS best_rank, CAST(count(*) AS BIGINT) AS n_sources,
+  string_agg(source, ',' ORDER BY source) AS sources FROM u GROUP BY 1, 2"""),
+    "result_table": q(neighbours_cte() + "," + ii_recs_cte(N_RECS, "ii5") + "," + pop_cte("pop5", N_RECS) + ","
+                      + wrand_cte("wr", "log"), """
+SELECT u.user_id,
+  coalesce((SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) FROM truth t WHERE t.user_id = u.user_id), '') AS bought,
+  coalesce((SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM pop5_recs r WHERE r.user_id = u.user_id), '') AS popular,
+  coalesce((SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM ii5 r WHERE r.user_id = u.user_id), '') AS item_item,
+  coalesce((SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM wr r WHERE r.user_id = u.user_id), '') AS weighted_random
+FROM val_users u"""),
+    "list_metrics": q(II_STD + "," + metrics_cte("cands", (5, 10)), """
+SELECT user_id,
+  """ + ",\n  ".join(f"round(max(CASE WHEN k = {k} THEN {m} END), 6) AS {m}_at_{k}"
+                      for k in (5, 10) for m in ("precision", "recall", "ndcg", "ap", "rr", "money_recall")) + """
+FROM met GROUP BY user_id"""),
+})

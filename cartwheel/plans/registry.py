@@ -12,13 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.metrics import mean_metrics, metrics_per_user
-from ..functions.weights import bm25, tfidf, user_item_matrix
-from ..operators.popular import item_popularity
-from ..operators.random_recs import weighted_random_recs
-from ..operators.split import week_range
+from ..functions.metrics import mean_metrics, metrics_per_user, with_metrics
 from ..functions.prefix import global_row_number
-from .setup import EVAL_KS, N_RECS, SEED, WEEK_HI, WEEK_LO, Frame, r6
+from ..functions.weights import binary_matrix, bm25, tfidf, user_item_matrix
+from ..operators.item_item import item_item_neighbours, item_item_recs
+from ..operators.popular import item_popularity, popular, popular_list, recs_from_list
+from ..operators.postprocess import fill_popular, top_without
+from ..operators.prefilter import kept_items, prefilter_items
+from ..operators.random_recs import weighted_random_recs
+from ..operators.split import eval_users, week_range
+from ..sources.chunks import chunk_manifest, chunk_rows
+from ..sources.retail import table
+from .evaluation import best_worst, candidate_union, compare, recall_curve, result_table, summary_table
+from .setup import EVAL_KS, FAKE_ITEM, K_NEIGHBOURS, N_RECS, SEED, WEEK_HI, WEEK_LO, Frame, r6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,15 +39,11 @@ def q_week_range(spark, sf):
 
 def q_split_sizes(spark, sf):
     f = Frame(spark, sf)
-    parts = []
-    for name, df in (("level1_train", f.train), ("level2_train", f.level2), ("level2_valid", f.valid)):
-        # distinct counts via group-by (two-phase), not a collect of ids
-        users = df.groupBy("user_id").agg(F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n_users"))
-        items = df.groupBy("item_id").agg(F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n_items"))
-        rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-        parts.append(rows.join(users, how="inner").join(items, how="inner")
-                     .select(F.lit(name).alias("split"), F.col("n_rows").cast("bigint"),
-                             F.col("n_users").cast("bigint"), F.col("n_items").cast("bigint")))
+    parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                    F.countDistinct("user_id").cast("bigint").alias("n_users"),
+                    F.countDistinct("item_id").cast("bigint").alias("n_items"))
+             .select(F.lit(name).alias("split"), "n_rows", "n_users", "n_items")
+             for name, df in (("level1_train", f.train), ("level2_train", f.level2), ("level2_valid", f.valid))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -103,6 +105,133 @@ def q_metric_means(spark, sf):
                     r6("ap"), r6("rr"), r6("money_recall"))
 
 
+PREFILTER_RULES = dict(top_n=1000, lo_share=0.01, hi_share=0.5, active_weeks=52, min_price=50.0, max_price=20000.0)
+RECALL_KS = (10, 50, 200, 500, 1000)
+
+
+def q_eval_users(spark, sf):
+    f = Frame(spark, sf)
+    return eval_users(f.train, f.valid)
+
+
+def q_user_item_matrix(spark, sf):
+    return user_item_matrix(Frame(spark, sf).train, "quantity").select("user_id", "item_id", r6("weight"))
+
+
+def q_prefilter_items(spark, sf):
+    k = kept_items(Frame(spark, sf).train, **PREFILTER_RULES)
+    return k.select("item_id", "n_users", r6("quantity"), r6("unit_price"), "last_week", "qty_rank")
+
+
+def q_top_without_fake(spark, sf):
+    f = Frame(spark, sf)
+    collapsed = prefilter_items(f.train, mode="collapse", fake_item_id=FAKE_ITEM, **PREFILTER_RULES)
+    mat = binary_matrix(collapsed)
+    nb = item_item_neighbours(mat, K_NEIGHBOURS)
+    six = item_item_recs(mat, nb, 6, f.val_users, exclude_seen=False)
+    return top_without(six, 6, [FAKE_ITEM], N_RECS).select("user_id", "item_id", "rank")
+
+
+def q_fill_popular(spark, sf):
+    f = Frame(spark, sf)
+    pop = [i for i, _ in popular_list(f.train, N_RECS, "count")]
+    return fill_popular(f.item_item(N_RECS), f.val_users, pop, N_RECS)
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders")
+
+
+def q_chunk_assign(spark, sf):
+    return chunk_rows(_orders(spark, sf).select("o_orderkey"), 1000, ["o_orderkey"]) \
+        .select("o_orderkey", "row_no", "chunk_id")
+
+
+def q_chunk_manifest(spark, sf):
+    return chunk_manifest(chunk_rows(_orders(spark, sf).select("o_orderkey"), 1000, ["o_orderkey"]),
+                          key="o_orderkey")
+
+
+def _pop_items_df(spark, f, n, by="count"):
+    return popular(f.train, n, by).select("item_id", "rank", "score")
+
+
+def q_recall_curve(spark, sf):
+    f = Frame(spark, sf)
+    gens = {"popular": (_pop_items_df(spark, f, max(RECALL_KS)), True),
+            "item_item": (f.item_item(max(RECALL_KS)), False)}
+    return recall_curve(gens, f.truth, RECALL_KS, f.val_users).select("generator", "k", r6("recall"))
+
+
+def _baselines(f):
+    return {
+        "popular": (_pop_items_df(None, f, N_RECS), True),
+        "weighted_random": (weighted_random_recs(f.train, f.val_users, N_RECS, seed=SEED, weighting="log"), False),
+        "uniform_random": (weighted_random_recs(f.train, f.val_users, N_RECS, seed=SEED, weighting="uniform"), False),
+        "item_item": (f.item_item(N_RECS), False),
+    }
+
+
+def q_algorithm_summary(spark, sf):
+    f = Frame(spark, sf)
+    rep = compare(_baselines(f), f.truth, (3, 5), f.val_users, f.prices)
+    out = summary_table(rep, "algorithm", ("precision", "recall"), (3, 5))
+    return out.select("algorithm", *[r6(c) for c in out.columns if c != "algorithm"])
+
+
+def model_grid(f: Frame) -> dict[str, tuple[DataFrame, bool]]:
+    """Deterministic grid over the first-level generators (precision@5 report)."""
+    counts = user_item_matrix(f.train, "count")
+    grid: dict[str, tuple[DataFrame, bool]] = {}
+    for name, mat, k in (("ii_k20_binary", f.train_matrix, 20), ("ii_k5_binary", f.train_matrix, 5),
+                         ("ii_k20_tfidf", tfidf(counts), 20), ("ii_k20_bm25", bm25(counts), 20)):
+        nb = f.neighbours if (mat is f.train_matrix and k == K_NEIGHBOURS) else item_item_neighbours(mat, k)
+        grid[name] = (item_item_recs(mat, nb, N_RECS, f.val_users), False)
+    grid["pop_count"] = (popular(f.train, N_RECS, "count"), True)
+    grid["pop_sales"] = (popular(f.train, N_RECS, "sales"), True)
+    for seed in (1, 2):
+        grid[f"wrand_seed{seed}"] = (weighted_random_recs(f.train, f.val_users, N_RECS, seed=seed), False)
+    return grid
+
+
+def q_best_worst(spark, sf):
+    f = Frame(spark, sf)
+    rep = compare(model_grid(f), f.truth, (N_RECS,), f.val_users, label="model_id")
+    bw = best_worst(rep.select("model_id", F.col("precision").alias("value")), "value", 5, "model_id")
+    return bw.select("side", "place", "model_id", r6("value"))
+
+
+def q_candidate_union(spark, sf):
+    f = Frame(spark, sf)
+    pop = recs_from_list(f.val_users, popular_list(f.train, 50, "count"))
+    return candidate_union({"item_item": f.item_item(50), "popular": pop})
+
+
+def q_result_table(spark, sf):
+    f = Frame(spark, sf)
+    lists = {"popular": recs_from_list(f.val_users, popular_list(f.train, N_RECS, "count")),
+             "item_item": f.item_item(N_RECS),
+             "weighted_random": weighted_random_recs(f.train, f.val_users, N_RECS, seed=SEED)}
+    return result_table(f.truth, f.val_users, lists)
+
+
+def q_list_metrics(spark, sf):
+    f = Frame(spark, sf)
+    recs = f.candidates.filter(F.col("rank") <= 10).join(f.prices, "item_id", "left")
+    rec_lists = (recs.groupBy("user_id")
+                 .agg(F.array_sort(F.collect_list(F.struct("rank", "item_id", "price"))).alias("_l"))
+                 .select("user_id", F.transform("_l", lambda s: s["item_id"]).alias("recommended_list"),
+                         F.transform("_l", lambda s: s["price"]).alias("prices_recommended")))
+    bought = (f.truth.join(f.prices, "item_id", "left").groupBy("user_id")
+              .agg(F.array_sort(F.collect_list(F.struct("item_id", "price"))).alias("_b"))
+              .select("user_id", F.transform("_b", lambda s: s["item_id"]).alias("bought_list"),
+                      F.transform("_b", lambda s: s["price"]).alias("prices_bought")))
+    lists = f.val_users.join(rec_lists, "user_id", "left").join(bought, "user_id", "left")
+    out = with_metrics(lists, (5, 10))
+    cols = [f"{m}_at_{k}" for k in (5, 10) for m in ("precision", "recall", "ndcg", "ap", "rr", "money_recall")]
+    return out.select("user_id", *[r6(c) for c in cols])
+
+
 QUERIES: dict[str, Query] = {
     "interactions": q_interactions,
     "week_range": q_week_range,
@@ -121,4 +250,17 @@ QUERIES: dict[str, Query] = {
     "mrr_at_k": _metric_query("rr"),
     "money_recall_at_k": _metric_query("money_recall"),
     "metric_means": q_metric_means,
+    "eval_users": q_eval_users,
+    "user_item_matrix": q_user_item_matrix,
+    "prefilter_items": q_prefilter_items,
+    "top_without_fake": q_top_without_fake,
+    "fill_popular": q_fill_popular,
+    "chunk_assign": q_chunk_assign,
+    "chunk_manifest": q_chunk_manifest,
+    "recall_curve": q_recall_curve,
+    "algorithm_summary": q_algorithm_summary,
+    "best_worst": q_best_worst,
+    "candidate_union": q_candidate_union,
+    "result_table": q_result_table,
+    "list_metrics": q_list_metrics,
 }
