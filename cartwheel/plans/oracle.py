@@ -24,17 +24,18 @@ prices AS (SELECT p_partkey AS item_id, p_retailprice AS price FROM part),
 mat AS (SELECT DISTINCT user_id, item_id, 1.0 AS weight FROM train)"""
 
 
-def neighbours_cte(mat: str = "mat", k: int = K_NEIGHBOURS, name: str = "nbrs") -> str:
+def neighbours_cte(mat: str = "mat", k: int = K_NEIGHBOURS, name: str = "nbrs", key: str = "user_id",
+                   other: str = "item_id") -> str:
     return f"""
-{name}_norms AS (SELECT item_id, sqrt(sum(weight * weight)) AS norm FROM {mat} GROUP BY item_id),
-{name}_dots AS (SELECT a.item_id AS a, b.item_id AS b, sum(a.weight * b.weight) AS dot
-  FROM {mat} a JOIN {mat} b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2),
+{name}_norms AS (SELECT {other} AS id, sqrt(sum(weight * weight)) AS norm FROM {mat} GROUP BY {other}),
+{name}_dots AS (SELECT a.{other} AS a, b.{other} AS b, sum(a.weight * b.weight) AS dot
+  FROM {mat} a JOIN {mat} b ON a.{key} = b.{key} AND a.{other} < b.{other} GROUP BY 1, 2),
 {name}_sims AS (SELECT d.a, d.b, d.dot / (na.norm * nb.norm) AS sim
-  FROM {name}_dots d JOIN {name}_norms na ON na.item_id = d.a JOIN {name}_norms nb ON nb.item_id = d.b),
-{name}_both AS (SELECT a AS item_id, b AS neighbour_id, sim FROM {name}_sims
-  UNION ALL SELECT b AS item_id, a AS neighbour_id, sim FROM {name}_sims),
-{name} AS (SELECT * FROM (SELECT item_id, neighbour_id, sim, row_number() OVER (
-    PARTITION BY item_id ORDER BY round(sim, 9) DESC, neighbour_id) AS rank FROM {name}_both) WHERE rank <= {k})"""
+  FROM {name}_dots d JOIN {name}_norms na ON na.id = d.a JOIN {name}_norms nb ON nb.id = d.b),
+{name}_both AS (SELECT a AS {other}, b AS neighbour_id, sim FROM {name}_sims
+  UNION ALL SELECT b AS {other}, a AS neighbour_id, sim FROM {name}_sims),
+{name} AS (SELECT * FROM (SELECT {other}, neighbour_id, sim, row_number() OVER (
+    PARTITION BY {other} ORDER BY round(sim, 9) DESC, neighbour_id) AS rank FROM {name}_both) WHERE rank <= {k})"""
 
 
 def ii_recs_cte(n: int, name: str, users: str = "val_users", mat: str = "mat", nbrs: str = "nbrs",
@@ -287,3 +288,65 @@ SELECT user_id,
                       for k in (5, 10) for m in ("precision", "recall", "ndcg", "ap", "rr", "money_recall")) + """
 FROM met GROUP BY user_id"""),
 })
+
+
+_HIST = """
+ph AS (SELECT user_id, item_id, count(*) AS tb, max(week_no) AS lw FROM train GROUP BY 1, 2),
+th AS (SELECT t.user_id, p.p_type AS type, sum(t.sales_value) AS st FROM train t
+  LEFT JOIN part p ON p.p_partkey = t.item_id GROUP BY 1, 2),
+sa AS (SELECT user_id, sum(sales_value) AS sa, sum(sales_value) / sum(quantity) AS up FROM train GROUP BY 1),
+ip AS (SELECT item_id, sum(sales_value) / sum(quantity) AS ip FROM train GROUP BY 1)"""
+
+CONTENT_CTE = f"""
+feat AS (SELECT p_partkey AS item_id, 'brand=' || p_brand AS feature FROM part
+  UNION ALL SELECT p_partkey, 'type=' || p_type FROM part
+  UNION ALL SELECT p_partkey, 'size=' || CAST(p_size AS VARCHAR) FROM part),
+ucnt AS (SELECT user_id, item_id, CAST(count(*) AS DOUBLE) AS q FROM train
+  WHERE user_id IN (SELECT user_id FROM val_users) GROUP BY 1, 2),
+prof AS (SELECT u.user_id, f.feature, sum(u.q) AS w FROM ucnt u JOIN feat f ON f.item_id = u.item_id GROUP BY 1, 2),
+pn AS (SELECT user_id, sqrt(sum(w * w)) AS n FROM prof GROUP BY 1),
+inn AS (SELECT item_id, sqrt(count(*)) AS n FROM feat GROUP BY 1),
+sc AS (SELECT p.user_id, f.item_id, sum(p.w) AS dot FROM prof p JOIN feat f ON f.feature = p.feature GROUP BY 1, 2),
+s2 AS (SELECT sc.user_id, sc.item_id, sc.dot / (pn.n * inn.n) AS score FROM sc
+  JOIN pn ON pn.user_id = sc.user_id JOIN inn ON inn.item_id = sc.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM ucnt x WHERE x.user_id = sc.user_id AND x.item_id = sc.item_id)),
+cb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank
+  FROM s2) WHERE rank <= {N_RECS})"""
+
+SQL.update({
+    "user_features": q("", """
+SELECT user_id, CAST(count(DISTINCT basket_id) AS BIGINT) AS n_baskets, CAST(count(DISTINCT item_id) AS BIGINT) AS n_items,
+  round(sum(sales_value) / count(DISTINCT basket_id), 6) AS mean_basket_value,
+  round(sum(sales_value) / sum(quantity), 6) AS mean_price,
+  CAST(""" + str(LEVEL2_START) + """ - max(week_no) AS BIGINT) AS weeks_since_last FROM train GROUP BY user_id"""),
+    "item_features": q(f"""
+pp AS (SELECT item_id, user_id, count(DISTINCT basket_id) AS nb, sum(quantity) AS q, sum(sales_value) AS s
+  FROM train GROUP BY 1, 2),
+b AS (SELECT item_id, count(*) AS n_buyers, sum(q) / {float(LEVEL2_START)} AS units_per_week, sum(s) / sum(q) AS mean_price,
+  CAST(sum(CASE WHEN nb >= 2 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS repeat_rate FROM pp GROUP BY 1),
+t AS (SELECT b.*, p.p_type AS type FROM b LEFT JOIN part p ON p.p_partkey = b.item_id),
+tm AS (SELECT type, avg(mean_price) AS tp FROM t GROUP BY type)""", """
+SELECT t.item_id, CAST(t.n_buyers AS BIGINT) AS n_buyers, round(t.units_per_week, 6) AS units_per_week,
+  round(t.mean_price, 6) AS mean_price, round(t.mean_price / tm.tp, 6) AS price_share_in_type,
+  round(t.repeat_rate, 6) AS repeat_rate FROM t LEFT JOIN tm ON tm.type = t.type"""),
+    "pair_features": q(II_STD + "," + _HIST, f"""
+SELECT c.user_id, c.item_id, CAST(coalesce(ph.tb, 0) AS BIGINT) AS times_bought,
+  CAST(coalesce({LEVEL2_START} - ph.lw, -1) AS BIGINT) AS pair_weeks_since_last,
+  round(coalesce(th.st / sa.sa, 0.0), 6) AS type_spend_share, round(coalesce(ip.ip - sa.up, 0.0), 6) AS price_diff,
+  round(c.score, 6) AS l1_score, CAST(c.rank AS BIGINT) AS l1_rank
+FROM cands c LEFT JOIN part p ON p.p_partkey = c.item_id
+  LEFT JOIN ph ON ph.user_id = c.user_id AND ph.item_id = c.item_id
+  LEFT JOIN th ON th.user_id = c.user_id AND th.type = p.p_type
+  LEFT JOIN sa ON sa.user_id = c.user_id LEFT JOIN ip ON ip.item_id = c.item_id"""),
+    "similar_items_vectors": q("""
+e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+es AS (SELECT a.vec_id, b.vec_id AS neighbour_id, list_cosine_similarity(a.v, b.v) AS sim
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+er AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 9) DESC, neighbour_id) AS rank FROM es)""",
+                               """SELECT vec_id, neighbour_id, CAST(rank AS BIGINT) AS rank, round(sim, 6) AS sim
+FROM er WHERE rank <= 5"""),
+    "similar_users": q(neighbours_cte(k=5, name="unb", key="item_id", other="user_id"), """
+SELECT user_id, neighbour_id, CAST(rank AS BIGINT) AS rank, round(sim, 6) AS sim FROM unb"""),
+    "content_based": q(CONTENT_CTE, """
+SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM cb"""),
+})

@@ -14,17 +14,25 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import mean_metrics, metrics_per_user, with_metrics
 from ..functions.prefix import global_row_number
-from ..functions.weights import binary_matrix, bm25, tfidf, user_item_matrix
-from ..operators.item_item import item_item_neighbours, item_item_recs
+from ..functions.weights import binary_matrix, bm25, tfidf, user_item_matrix, weigh
+from ..operators.content import content_based_recs
+from ..operators.factor import fit_als
+from ..operators.features import item_features, pair_features, user_features
+from ..operators.hybrid import fit_hybrid_fm
+from ..operators.item_item import cosine_neighbours, item_item_neighbours, item_item_recs
+from ..operators.two_level import fit_ranker
+from ..operators.vectors import similar_vectors
 from ..operators.popular import item_popularity, popular, popular_list, recs_from_list
 from ..operators.postprocess import fill_popular, top_without
 from ..operators.prefilter import kept_items, prefilter_items
 from ..operators.random_recs import weighted_random_recs
 from ..operators.split import eval_users, week_range
 from ..sources.chunks import chunk_manifest, chunk_rows
-from ..sources.retail import table
-from .evaluation import best_worst, candidate_union, compare, recall_curve, result_table, summary_table
-from .setup import EVAL_KS, FAKE_ITEM, K_NEIGHBOURS, N_RECS, SEED, WEEK_HI, WEEK_LO, Frame, r6
+from ..sources.retail import item_content, table, user_attributes
+from .evaluation import (best_worst, candidate_union, compare, evaluate, level_comparison, recall_curve,
+                         result_table, summary_table)
+from .setup import (EVAL_KS, FAKE_ITEM, K_NEIGHBOURS, LEVEL2_START, N_CANDIDATES, N_RECS, SEED, WEEK_HI,
+                    WEEK_LO, Frame, r6)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,6 +240,111 @@ def q_list_metrics(spark, sf):
     return out.select("user_id", *[r6(c) for c in cols])
 
 
+def _item_types(f):
+    return item_content(f.spark, f.sf_dir).select("item_id", "type")
+
+
+def q_user_features(spark, sf):
+    u = user_features(Frame(spark, sf).train, LEVEL2_START)
+    return u.select("user_id", "n_baskets", "n_items", r6("mean_basket_value"), r6("mean_price"), "weeks_since_last")
+
+
+def q_item_features(spark, sf):
+    f = Frame(spark, sf)
+    it = item_features(f.train, _item_types(f), LEVEL2_START)
+    return it.select("item_id", "n_buyers", r6("units_per_week"), r6("mean_price"), r6("price_share_in_type"),
+                     r6("repeat_rate"))
+
+
+def q_pair_features(spark, sf):
+    f = Frame(spark, sf)
+    pf = pair_features(f.candidates, f.train, _item_types(f), LEVEL2_START)
+    return pf.select("user_id", "item_id", "times_bought", "pair_weeks_since_last", r6("type_spend_share"),
+                     r6("price_diff"), r6("l1_score"), "l1_rank")
+
+
+def q_similar_items_vectors(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return similar_vectors(emb, 5).select("vec_id", "neighbour_id", "rank", r6("sim"))
+
+
+def q_similar_users(spark, sf):
+    f = Frame(spark, sf)
+    nb = cosine_neighbours(f.train_matrix, 5, key="item_id", other="user_id", out_id="user_id")
+    return nb.select("user_id", "neighbour_id", "rank", r6("sim"))
+
+
+def q_content_based(spark, sf):
+    f = Frame(spark, sf)
+    cb = content_based_recs(f.train, item_content(spark, sf), f.val_users, N_RECS)
+    return cb.select("user_id", "item_id", "rank", r6("score"))
+
+
+def _als(f, weighting="bm25", factors=16, iterations=8, reg=0.1):
+    mat = weigh(user_item_matrix(f.train, "count"), weighting)
+    return fit_als(mat, factors=factors, iterations=iterations, regularization=reg, seed=SEED)
+
+
+def q_als_recs(spark, sf):
+    f = Frame(spark, sf)
+    return _als(f).recommend(f.val_users, N_RECS, exclude_seen=True)
+
+
+def q_hybrid_fm_recs(spark, sf):
+    f = Frame(spark, sf)
+    cands = _als(f).recommend(f.val_users, 50, exclude_seen=True)
+    fm = fit_hybrid_fm(f.train_matrix, user_attributes(spark, sf), item_content(spark, sf), seed=SEED)
+    return fm.rerank(cands, N_RECS)
+
+
+def two_level_recs(f: Frame, n: int = N_RECS, kind: str = "gbt", fill: bool = True) -> DataFrame:
+    lvl2_users = f.level2.select("user_id").distinct()
+    train_cands = f.item_item(N_CANDIDATES, users=lvl2_users)
+    ranker = fit_ranker(train_cands, f.level2, f.train, _item_types(f), LEVEL2_START, kind=kind,
+                        max_iter=10, max_depth=3, seed=SEED)
+    ranked = ranker.recommend(f.candidates, n)
+    if not fill:
+        return ranked
+    pop = [i for i, _ in popular_list(f.train, n, "count")]
+    return fill_popular(ranked, f.val_users, pop, n).select("user_id", "item_id", "rank", "source")
+
+
+def q_two_level_recs(spark, sf):
+    return two_level_recs(Frame(spark, sf))
+
+
+def q_level_comparison(spark, sf):
+    f = Frame(spark, sf)
+    level1 = f.item_item(10)
+    level2 = two_level_recs(f, n=10, fill=False)
+    out = level_comparison(level1, level2, f.truth, f.val_users)
+    return out.select("metric", "k", r6("level1"), r6("level2"), r6("delta"))
+
+
+ALS_GRID = [  # (factors, iterations, regularization, weighting)
+    (8, 5, 0.1, "none"), (8, 5, 0.1, "bm25"), (16, 8, 0.01, "tfidf"), (16, 8, 0.1, "bm25"),
+]
+
+
+def q_als_grid(spark, sf):
+    f = Frame(spark, sf)
+    rows = []
+    for factors, iters, reg, weighting in ALS_GRID:
+        mid = f"als_f{factors}_i{iters}_r{reg}_{weighting}"
+        recs = _als(f, weighting, factors, iters, reg).recommend(f.val_users, N_RECS, exclude_seen=True)
+        m = evaluate(recs, f.truth, (N_RECS,), f.val_users).select(
+            F.lit(mid).alias("model_id"), F.lit(factors).alias("factors"), F.lit(iters).alias("iterations"),
+            F.lit(reg).alias("regularization"), F.lit(weighting).alias("weighting"),
+            F.col("precision").alias("precision_at_5"), F.col("ap").alias("map_at_5"))
+        rows.append(m.checkpoint(eager=True))
+    rep = rows[0]
+    for r in rows[1:]:
+        rep = rep.unionByName(r)
+    best = best_worst(rep.withColumnRenamed("precision_at_5", "value"), "value", 1, "model_id") \
+        .filter(F.col("side") == "best").select("model_id", F.lit(True).alias("is_best"))
+    return rep.join(best, "model_id", "left").fillna({"is_best": False})
+
+
 QUERIES: dict[str, Query] = {
     "interactions": q_interactions,
     "week_range": q_week_range,
@@ -263,4 +376,15 @@ QUERIES: dict[str, Query] = {
     "candidate_union": q_candidate_union,
     "result_table": q_result_table,
     "list_metrics": q_list_metrics,
+    "user_features": q_user_features,
+    "item_features": q_item_features,
+    "pair_features": q_pair_features,
+    "similar_items_vectors": q_similar_items_vectors,
+    "similar_users": q_similar_users,
+    "content_based": q_content_based,
+    "als_recs": q_als_recs,
+    "hybrid_fm_recs": q_hybrid_fm_recs,
+    "two_level_recs": q_two_level_recs,
+    "level_comparison": q_level_comparison,
+    "als_grid": q_als_grid,
 }
