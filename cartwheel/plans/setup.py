@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,11 +68,13 @@ class Frame:
 
     @cached_property
     def train_matrix(self) -> DataFrame:
-        return binary_matrix(self.train)
+        # read by the co-occurrence join, the norms, the scoring join and the seen-item filter
+        return binary_matrix(self.train).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def neighbours(self) -> DataFrame:
-        return item_item_neighbours(self.train_matrix, K_NEIGHBOURS)
+        # small (items x K) and read by every item-item list of the frame
+        return item_item_neighbours(self.train_matrix, K_NEIGHBOURS).persist(StorageLevel.MEMORY_AND_DISK)
 
     def item_item(self, n: int, users: DataFrame | None = None, exclude_seen: bool = True) -> DataFrame:
         return item_item_recs(self.train_matrix, self.neighbours, n,

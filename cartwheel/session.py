@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "cartwheel") -> SparkSession:
+                app_name: str = "cartwheel", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with AQE on and the UI off.
 
     On a cluster the master and partition count come from spark-submit; these defaults only
@@ -27,6 +27,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM: its heap is the executor memory
+        builder = builder.config("spark.driver.memory", driver_memory or os.environ.get("CARTWHEEL_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -78,3 +78,15 @@ def test_top_without_fake(spark):
         lists.setdefault(r["user_id"], []).append(r["item_id"])
     assert lists == {1: [10, 11, 12, 13, 14], 2: [10, 11, 12, 13, 14]}
     assert [r["rank"] for r in out if r["user_id"] == 1] == [1, 2, 3, 4, 5]
+
+
+def test_recommender_facade(spark, inter):
+    from cartwheel.plans.recommender import Recommender
+    rec = Recommender(method="item_item", k_neighbours=5).fit(inter)
+    out = rec.recommend(n=3).collect()
+    per = {}
+    for r in out:
+        per.setdefault(r["user_id"], []).append(r["item_id"])
+    assert set(per) == {1, 2, 3, 4} and all(len(v) == 3 for v in per.values())
+    one = rec.recommend_for_user(1, 3).orderBy("rank").collect()
+    assert [r["item_id"] for r in one] == [3, 1, 2]
