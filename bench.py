@@ -32,6 +32,10 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
+    # JVM start and first code generation are not query work: one small untimed read first
+    t0 = time.time()
+    spark.read.parquet(os.path.join(sf_dir, "region.parquet")).write.format("noop").mode("overwrite").save()
+    warmup = round(time.time() - t0, 3)
     times: dict[str, float] = {}
     for name in names:
         t0 = time.time()
@@ -41,7 +45,7 @@ def main() -> None:
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+                      "queries": times, "warmup_sec": warmup, "sf": float(m.group(1)) if m else sf_dir}))
 
 
 if __name__ == "__main__":

@@ -26,12 +26,26 @@ from ..functions.ranking import top_n
 DEFAULT_BLOCK = 512
 
 
+# Heavy-user tables up to this many rows are broadcast; larger ones are shuffle-joined.
+HEAVY_BROADCAST_ROWS = 1_000_000
+
+
 def _blocked(mat: DataFrame, key: str, other: str, block: int) -> DataFrame:
+    """Add ``_nb`` (block count of the row's key) and ``_blk`` (its block).
+
+    Only keys with more than ``block`` items need splitting. Their count is bounded by
+    rows / block; it is checked, and the table is broadcast when small, so the matrix itself is
+    not shuffled for this step.
+    """
     deg = mat.groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(block))).cast("int")
-    return (mat.join(deg, key)
-            .withColumn("_nb", nb)
-            .withColumn("_blk", F.pmod(F.xxhash64(other), F.col("_nb")).cast("int")))
+    heavy = deg.filter(F.col("_deg") > block).select(
+        key, F.ceil(F.col("_deg") / F.lit(block)).cast("int").alias("_hb"))
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        return mat.withColumn("_nb", F.lit(1)).withColumn("_blk", F.lit(0))
+    heavy = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
+    m = mat.join(heavy, key, "left").withColumn("_nb", F.coalesce("_hb", F.lit(1))).drop("_hb")
+    return m.withColumn("_blk", F.pmod(F.xxhash64(other), F.col("_nb")).cast("int"))
 
 
 def cooccurrence(mat: DataFrame, key: str = "user_id", other: str = "item_id",
@@ -56,13 +70,15 @@ def cosine_neighbours(mat: DataFrame, k: int, key: str = "user_id", other: str =
                       weight: str = "weight", block: int = DEFAULT_BLOCK,
                       out_id: str = "item_id", out_nb: str = "neighbour_id") -> DataFrame:
     """Top-k cosine neighbours of every ``other`` over the shared ``key``:
-    ``<out_id>, <out_nb>, rank, sim``."""
-    norms = mat.groupBy(other).agg(F.sqrt(F.sum(F.col(weight) * F.col(weight))).alias("norm"))
-    dots = cooccurrence(mat, key, other, weight, block)
-    na = norms.select(F.col(other).alias("a"), F.col("norm").alias("na"))
-    nb = norms.select(F.col(other).alias("b"), F.col("norm").alias("nb"))
-    sims = (dots.join(na, "a").join(nb, "b")
-            .select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("sim")))
+    ``<out_id>, <out_nb>, rank, sim``.
+
+    Weights are divided by their column norm first (one join at matrix size), so the
+    co-occurrence sums are the cosines and the pair table needs no further join.
+    """
+    norms = mat.groupBy(other).agg(F.sqrt(F.sum(F.col(weight) * F.col(weight))).alias("_norm"))
+    unit = (mat.join(norms, other)
+            .select(key, other, (F.col(weight) / F.col("_norm")).alias(weight)))
+    sims = cooccurrence(unit, key, other, weight, block).withColumnRenamed("dot", "sim")
     both = sims.select(F.col("a").alias(out_id), F.col("b").alias(out_nb), "sim").unionByName(
         sims.select(F.col("b").alias(out_id), F.col("a").alias(out_nb), "sim"))
     return top_n(both, k, by=out_id, score="sim", tie=out_nb).select(out_id, out_nb, "rank", "sim")
@@ -74,7 +90,7 @@ def item_item_neighbours(weights: DataFrame, k: int = 20, block: int = DEFAULT_B
 
 
 def item_item_scores(weights: DataFrame, neighbours: DataFrame, users: DataFrame | None = None,
-                     exclude_seen: bool = True) -> DataFrame:
+                     exclude_seen: bool = True, restrict_to: DataFrame | None = None) -> DataFrame:
     """All candidate scores ``user_id, item_id, score`` (owned items x their neighbour lists).
 
     The owned side is joined to at most K neighbour rows per item, so the output is linear in the
@@ -84,6 +100,9 @@ def item_item_scores(weights: DataFrame, neighbours: DataFrame, users: DataFrame
     if users is not None:
         owned = owned.join(users.select("user_id").distinct(), "user_id", "left_semi")
     nb = neighbours.select(F.col("item_id").alias("src"), F.col("neighbour_id").alias("item_id"), "sim")
+    if restrict_to is not None:
+        # only recommend items of the given set (e.g. the top popular items)
+        nb = nb.join(restrict_to.select("item_id").distinct(), "item_id", "left_semi")
     scores = (owned.join(nb, "src")
               .groupBy("user_id", "item_id").agg(F.sum(F.col("w") * F.col("sim")).alias("score")))
     if exclude_seen:
@@ -93,7 +112,7 @@ def item_item_scores(weights: DataFrame, neighbours: DataFrame, users: DataFrame
 
 
 def item_item_recs(weights: DataFrame, neighbours: DataFrame, n: int, users: DataFrame | None = None,
-                   exclude_seen: bool = True) -> DataFrame:
+                   exclude_seen: bool = True, restrict_to: DataFrame | None = None) -> DataFrame:
     """Top-n item-item recommendations: ``user_id, item_id, rank, score``."""
-    scores = item_item_scores(weights, neighbours, users, exclude_seen)
+    scores = item_item_scores(weights, neighbours, users, exclude_seen, restrict_to)
     return top_n(scores, n).select("user_id", "item_id", "rank", "score")

@@ -350,3 +350,24 @@ SELECT user_id, neighbour_id, CAST(rank AS BIGINT) AS rank, round(sim, 6) AS sim
     "content_based": q(CONTENT_CTE, """
 SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM cb"""),
 })
+
+
+_FILL = neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs5") + "," + pop_cte("pop5", N_RECS) + """,
+allc AS (SELECT user_id, item_id, rank AS r, 0 AS src FROM recs5
+  UNION ALL SELECT u.user_id, p.item_id, 1000 + p.rank AS r, 1 AS src FROM val_users u CROSS JOIN pop5 p
+  WHERE NOT EXISTS (SELECT 1 FROM recs5 x WHERE x.user_id = u.user_id AND x.item_id = p.item_id)),
+fin AS (SELECT * FROM (SELECT user_id, item_id, src, row_number() OVER (PARTITION BY user_id ORDER BY r) AS rank
+  FROM allc) WHERE rank <= """ + str(N_RECS) + ")"
+
+SQL.update({
+    "quality_gate": q(_FILL + "," + metrics_cte("fin", (N_RECS,), name="qg"), """
+SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, 0.22 AS threshold,
+  avg(precision) > 0.22 AS passes FROM qg"""),
+    "chunk_manifest_reference": q("""
+num AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders),
+man AS (SELECT CAST((row_no - 1) // 1000 AS BIGINT) AS chunk_id, CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(min(row_no) AS BIGINT) AS first_row, CAST(max(row_no) AS BIGINT) AS last_row FROM num GROUP BY 1)""", """
+SELECT * FROM man
+UNION ALL SELECT CAST(count(*) // 1000 AS BIGINT), CAST(0 AS BIGINT), CAST(count(*) + 1 AS BIGINT),
+  CAST(count(*) AS BIGINT) FROM orders HAVING count(*) % 1000 = 0"""),
+})

@@ -16,7 +16,7 @@ from ..functions.metrics import mean_metrics, metrics_per_user, with_metrics
 from ..functions.prefix import global_row_number
 from ..functions.weights import binary_matrix, bm25, tfidf, user_item_matrix, weigh
 from ..operators.content import content_based_recs
-from ..operators.factor import fit_als
+from ..operators.factor import fit_als, similar_from_factors
 from ..operators.features import item_features, pair_features, user_features
 from ..operators.hybrid import fit_hybrid_fm
 from ..operators.item_item import cosine_neighbours, item_item_neighbours, item_item_recs
@@ -31,6 +31,7 @@ from ..sources.chunks import chunk_manifest, chunk_rows
 from ..sources.retail import item_content, table, user_attributes
 from .evaluation import (best_worst, candidate_union, compare, evaluate, level_comparison, recall_curve,
                          result_table, summary_table)
+from .selection import grid_report, mark_best, quality_gate
 from .setup import (EVAL_KS, FAKE_ITEM, K_NEIGHBOURS, LEVEL2_START, N_CANDIDATES, N_RECS, SEED, WEEK_HI,
                     WEEK_LO, Frame, r6)
 
@@ -321,28 +322,68 @@ def q_level_comparison(spark, sf):
     return out.select("metric", "k", r6("level1"), r6("level2"), r6("delta"))
 
 
-ALS_GRID = [  # (factors, iterations, regularization, weighting)
-    (8, 5, 0.1, "none"), (8, 5, 0.1, "bm25"), (16, 8, 0.01, "tfidf"), (16, 8, 0.1, "bm25"),
+ALS_GRID = [  # a small slice of the search space; the full grid is a parameter of grid_report
+    dict(factors=8, iterations=5, regularization=0.1, weighting="none"),
+    dict(factors=8, iterations=5, regularization=0.1, weighting="bm25"),
+    dict(factors=16, iterations=8, regularization=0.01, weighting="tfidf"),
+    dict(factors=16, iterations=8, regularization=0.1, weighting="bm25"),
+]
+
+FM_GRID = [
+    dict(factor_size=4, step_size=0.05, max_iter=10, reg_param=0.01, fit_linear=True),
+    dict(factor_size=8, step_size=0.05, max_iter=10, reg_param=0.01, fit_linear=True),
+    dict(factor_size=8, step_size=0.01, max_iter=20, reg_param=0.1, fit_linear=False),
+    dict(factor_size=16, step_size=0.05, max_iter=10, reg_param=0.1, fit_linear=True),
 ]
 
 
 def q_als_grid(spark, sf):
     f = Frame(spark, sf)
-    rows = []
-    for factors, iters, reg, weighting in ALS_GRID:
-        mid = f"als_f{factors}_i{iters}_r{reg}_{weighting}"
-        recs = _als(f, weighting, factors, iters, reg).recommend(f.val_users, N_RECS, exclude_seen=True)
-        m = evaluate(recs, f.truth, (N_RECS,), f.val_users).select(
-            F.lit(mid).alias("model_id"), F.lit(factors).alias("factors"), F.lit(iters).alias("iterations"),
-            F.lit(reg).alias("regularization"), F.lit(weighting).alias("weighting"),
-            F.col("precision").alias("precision_at_5"), F.col("ap").alias("map_at_5"))
-        rows.append(m.checkpoint(eager=True))
-    rep = rows[0]
-    for r in rows[1:]:
-        rep = rep.unionByName(r)
-    best = best_worst(rep.withColumnRenamed("precision_at_5", "value"), "value", 1, "model_id") \
-        .filter(F.col("side") == "best").select("model_id", F.lit(True).alias("is_best"))
-    return rep.join(best, "model_id", "left").fillna({"is_best": False})
+
+    def build(cfg):
+        return _als(f, cfg["weighting"], cfg["factors"], cfg["iterations"], cfg["regularization"]) \
+            .recommend(f.val_users, N_RECS, exclude_seen=True)
+
+    rep = grid_report(ALS_GRID, build, f.truth, f.val_users, N_RECS,
+                      model_id=lambda c: "als_f{factors}_i{iterations}_r{regularization}_{weighting}".format(**c))
+    return mark_best(rep, f"precision_at_{N_RECS}")
+
+
+def q_fm_grid(spark, sf):
+    f = Frame(spark, sf)
+    cands = f.item_item(50).persist()
+    users, items = user_attributes(spark, sf), item_content(spark, sf)
+
+    def build(cfg):
+        fm = fit_hybrid_fm(f.train_matrix, users, items, factor_size=cfg["factor_size"],
+                           step_size=cfg["step_size"], max_iter=cfg["max_iter"], reg_param=cfg["reg_param"],
+                           fit_linear=cfg["fit_linear"], seed=SEED)
+        return fm.rerank(cands, N_RECS)
+
+    rep = grid_report(FM_GRID, build, f.truth, f.val_users, N_RECS,
+                      model_id=lambda c: "fm_f{factor_size}_s{step_size}_i{max_iter}_r{reg_param}_l{fit_linear}".format(**c))
+    return mark_best(rep, f"precision_at_{N_RECS}")
+
+
+def q_quality_gate(spark, sf):
+    """Precision@5 and MAP@5 of item-item + popular fill on the hold-out; passes if above 0.22."""
+    f = Frame(spark, sf)
+    pop = [i for i, _ in popular_list(f.train, N_RECS, "count")]
+    recs = fill_popular(f.item_item(N_RECS), f.val_users, pop, N_RECS)
+    means = mean_metrics(metrics_per_user(recs, f.truth, (N_RECS,), users=f.val_users))
+    gate = quality_gate(means, "precision", N_RECS, 0.22)
+    return gate.join(means.select("k", F.round("ap", 6).alias("map_at_5")), "k").select(
+        F.round("value", 6).alias("precision_at_5"), "map_at_5", "threshold", "passes")
+
+
+def q_chunk_manifest_reference(spark, sf):
+    ch = chunk_rows(_orders(spark, sf).select("o_orderkey"), 1000, ["o_orderkey"])
+    return chunk_manifest(ch, trailing_empty=True, chunk_size=1000)
+
+
+def q_als_similar_items(spark, sf):
+    f = Frame(spark, sf)
+    return similar_from_factors(_als(f), 5, "item").select("item_id", "neighbour_id", "rank", r6("sim"))
 
 
 QUERIES: dict[str, Query] = {
@@ -387,4 +428,8 @@ QUERIES: dict[str, Query] = {
     "two_level_recs": q_two_level_recs,
     "level_comparison": q_level_comparison,
     "als_grid": q_als_grid,
+    "fm_grid": q_fm_grid,
+    "quality_gate": q_quality_gate,
+    "chunk_manifest_reference": q_chunk_manifest_reference,
+    "als_similar_items": q_als_similar_items,
 }

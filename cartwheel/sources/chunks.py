@@ -29,13 +29,30 @@ def chunk_rows(df: DataFrame, chunk_size: int, order_by: Sequence[str]) -> DataF
     return numbered.withColumn("chunk_id", F.floor((F.col("row_no") - 1) / chunk_size).cast("bigint"))
 
 
-def chunk_manifest(chunked: DataFrame, key: str | None = None) -> DataFrame:
-    """``chunk_id, n_rows, first_row, last_row`` (+ first/last ``key``)."""
+def chunk_manifest(chunked: DataFrame, key: str | None = None, trailing_empty: bool = False,
+                   chunk_size: int | None = None) -> DataFrame:
+    """``chunk_id, n_rows, first_row, last_row`` (+ first/last ``key``).
+
+    ``trailing_empty=True`` (needs ``chunk_size``) adds a zero-row line when the row count is a
+    multiple of the chunk size -- the header-only file of the single-machine splitter.
+    """
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-            F.min("row_no").alias("first_row"), F.max("row_no").alias("last_row")]
+            F.min("row_no").cast("bigint").alias("first_row"), F.max("row_no").cast("bigint").alias("last_row")]
     if key:
         aggs += [F.min_by(key, "row_no").alias("first_key"), F.max_by(key, "row_no").alias("last_key")]
-    return chunked.groupBy("chunk_id").agg(*aggs)
+    man = chunked.groupBy("chunk_id").agg(*aggs)
+    if not trailing_empty:
+        return man
+    _check(chunk_size)
+    total = chunked.count()
+    if total % chunk_size:
+        return man
+    # an empty row range: first = total + 1, last = total
+    extra = man.sparkSession.createDataFrame(
+        [(total // chunk_size, 0, total + 1, total)], "chunk_id bigint, n_rows bigint, first_row bigint, last_row bigint")
+    for c in man.columns[4:]:
+        extra = extra.withColumn(c, F.lit(None).cast(man.schema[c].dataType))
+    return man.unionByName(extra)
 
 
 def write_chunks(df: DataFrame, path: str, chunk_size: int, order_by: Sequence[str],
