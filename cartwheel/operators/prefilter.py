@@ -22,10 +22,12 @@ from ..functions.prefix import global_row_number
 
 def item_stats(inter: DataFrame) -> DataFrame:
     per_pair = inter.groupBy("item_id", "user_id").agg(
-        F.sum("quantity").alias("q"), F.sum("sales_value").alias("s"), F.max("week_no").alias("lw"))
+        F.sum("quantity").alias("q"), F.sum(F.col("sales_value").cast("decimal(18,2)")).alias("s"),
+        F.max("week_no").alias("lw"))
+    # money is summed exactly (DECIMAL) so ratios do not depend on summation order
     return per_pair.groupBy("item_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_users"), F.sum("q").alias("quantity"),
-        F.sum("s").alias("sales"), F.max("lw").alias("last_week"))
+        F.sum("s").cast("double").alias("sales"), F.max("lw").alias("last_week"))
 
 
 def kept_items(inter: DataFrame, top_n: int | None = None, lo_share: float | None = None,

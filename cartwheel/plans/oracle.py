@@ -119,7 +119,7 @@ def pop_cte(name: str, n: int, measure: str = "count(*)") -> str:
 
 
 PREFILTER_CTE = """
-pf_st AS (SELECT item_id, count(DISTINCT user_id) AS n_users, sum(quantity) AS quantity, sum(sales_value) AS sales,
+pf_st AS (SELECT item_id, count(DISTINCT user_id) AS n_users, sum(quantity) AS quantity, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) AS sales,
   max(week_no) AS last_week FROM train GROUP BY item_id),
 pf_g AS (SELECT count(DISTINCT user_id) AS n, max(week_no) AS w FROM train),
 pf_kept AS (SELECT s.*, s.sales / s.quantity AS unit_price FROM pf_st s CROSS JOIN pf_g g
@@ -292,10 +292,10 @@ FROM met GROUP BY user_id"""),
 
 _HIST = """
 ph AS (SELECT user_id, item_id, count(*) AS tb, max(week_no) AS lw FROM train GROUP BY 1, 2),
-th AS (SELECT t.user_id, p.p_type AS type, sum(t.sales_value) AS st FROM train t
+th AS (SELECT t.user_id, p.p_type AS type, CAST(sum(CAST(t.sales_value AS DECIMAL(18,2))) AS DOUBLE) AS st FROM train t
   LEFT JOIN part p ON p.p_partkey = t.item_id GROUP BY 1, 2),
-sa AS (SELECT user_id, sum(sales_value) AS sa, sum(sales_value) / sum(quantity) AS up FROM train GROUP BY 1),
-ip AS (SELECT item_id, sum(sales_value) / sum(quantity) AS ip FROM train GROUP BY 1)"""
+sa AS (SELECT user_id, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) AS sa, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / sum(quantity) AS up FROM train GROUP BY 1),
+ip AS (SELECT item_id, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / sum(quantity) AS ip FROM train GROUP BY 1)"""
 
 CONTENT_CTE = f"""
 feat AS (SELECT p_partkey AS item_id, 'brand=' || p_brand AS feature FROM part
@@ -316,13 +316,14 @@ cb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
 SQL.update({
     "user_features": q("", """
 SELECT user_id, CAST(count(DISTINCT basket_id) AS BIGINT) AS n_baskets, CAST(count(DISTINCT item_id) AS BIGINT) AS n_items,
-  round(sum(sales_value) / count(DISTINCT basket_id), 6) AS mean_basket_value,
-  round(sum(sales_value) / sum(quantity), 6) AS mean_price,
+  round(CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / count(DISTINCT basket_id), 6) AS mean_basket_value,
+  round(CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / sum(quantity), 6) AS mean_price,
   CAST(""" + str(LEVEL2_START) + """ - max(week_no) AS BIGINT) AS weeks_since_last FROM train GROUP BY user_id"""),
     "item_features": q(f"""
-pp AS (SELECT item_id, user_id, count(DISTINCT basket_id) AS nb, sum(quantity) AS q, sum(sales_value) AS s
-  FROM train GROUP BY 1, 2),
-b AS (SELECT item_id, count(*) AS n_buyers, sum(q) / {float(LEVEL2_START)} AS units_per_week, sum(s) / sum(q) AS mean_price,
+pp AS (SELECT item_id, user_id, count(DISTINCT basket_id) AS nb, sum(quantity) AS q,
+  sum(CAST(sales_value AS DECIMAL(18,2))) AS s FROM train GROUP BY 1, 2),
+b AS (SELECT item_id, count(*) AS n_buyers, sum(q) / {float(LEVEL2_START)} AS units_per_week,
+  CAST(sum(s) AS DOUBLE) / sum(q) AS mean_price,
   CAST(sum(CASE WHEN nb >= 2 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS repeat_rate FROM pp GROUP BY 1),
 t AS (SELECT b.*, p.p_type AS type FROM b LEFT JOIN part p ON p.p_partkey = b.item_id),
 tm AS (SELECT type, avg(mean_price) AS tp FROM t GROUP BY type)""", """
