@@ -28,7 +28,7 @@ from ..operators.prefilter import kept_items, prefilter_items
 from ..operators.random_recs import weighted_random_recs
 from ..operators.split import eval_users, week_range
 from ..sources.chunks import chunk_manifest, chunk_rows
-from ..sources.retail import item_content, table, user_attributes
+from ..sources.retail import item_content, load_interactions, table, user_attributes
 from .evaluation import (best_worst, candidate_union, compare, evaluate, level_comparison, recall_curve,
                          result_table, summary_table)
 from .selection import grid_report, mark_best, quality_gate
@@ -43,7 +43,7 @@ def q_interactions(spark, sf):
 
 
 def q_week_range(spark, sf):
-    return week_range(Frame(spark, sf).inter, WEEK_LO, WEEK_HI)
+    return week_range(load_interactions(spark, sf, weeks=(WEEK_LO, WEEK_HI)), WEEK_LO, WEEK_HI)
 
 
 def q_split_sizes(spark, sf):

@@ -40,7 +40,14 @@ class Frame:
 
     @cached_property
     def splits(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return split_two_level(self.inter, LEVEL2_START, VALID_START)
+        # each block is read with its week range pushed into the order scan as a date range;
+        # split_two_level keeps the same week filters on the derived column
+        def block(lo, hi):
+            return load_interactions(self.spark, self.sf_dir, weeks=(lo, hi))
+        l1, _, _ = split_two_level(block(None, LEVEL2_START - 1), LEVEL2_START, VALID_START)
+        _, l2, _ = split_two_level(block(LEVEL2_START, VALID_START - 1), LEVEL2_START, VALID_START)
+        _, _, val = split_two_level(block(VALID_START, None), LEVEL2_START, VALID_START)
+        return l1, l2, val
 
     @property
     def train(self) -> DataFrame:

@@ -7,6 +7,8 @@ prune columns and push filters (e.g. a week range) into the parquet scans.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +27,39 @@ def week_of(ts: Column, epoch: str = EPOCH) -> Column:
     return F.floor(F.datediff(F.to_date(ts), F.lit(epoch).cast("date")) / 7).cast("int")
 
 
-def load_interactions(spark: SparkSession, sf_dir: str, with_date: bool = False) -> DataFrame:
+def week_start(week: int, epoch: str = EPOCH) -> str:
+    """First instant of ``week`` as an ISO timestamp string."""
+    d = _dt.date.fromisoformat(epoch) + _dt.timedelta(days=7 * week)
+    return f"{d.isoformat()} 00:00:00"
+
+
+def date_range_filter(df: DataFrame, ts_col: str, lo_week: int | None, hi_week: int | None) -> DataFrame:
+    """Keep rows whose week is in [lo_week, hi_week], written as a range on the raw timestamp so
+    the parquet scan can skip row groups (a filter on the derived week number cannot be pushed).
+    week(ts) < W  <=>  date(ts) < epoch + 7W days  <=>  ts < epoch + 7W days (00:00)."""
+    typ = df.schema[ts_col].dataType
+    if lo_week is not None:
+        df = df.filter(F.col(ts_col) >= F.lit(week_start(lo_week)).cast(typ))
+    if hi_week is not None:
+        df = df.filter(F.col(ts_col) < F.lit(week_start(hi_week + 1)).cast(typ))
+    return df
+
+
+def load_interactions(spark: SparkSession, sf_dir: str, with_date: bool = False,
+                      weeks: tuple[int | None, int | None] | None = None) -> DataFrame:
     """One row per purchase line: ``user_id, basket_id, item_id, week_no, quantity, sales_value``.
 
-    The order table is the smaller side of the join; Spark broadcasts it only when its size
-    estimate is under the broadcast threshold, otherwise it shuffles both sides on the order key.
+    ``weeks=(lo, hi)`` (inclusive, either side open with None) is pushed into the order scan as a
+    date range. The order table is the smaller side of the join; Spark broadcasts it only when its
+    size estimate is under the broadcast threshold, otherwise both sides shuffle on the order key.
     """
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("basket_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate"),
     )
+    if weeks is not None:
+        orders = date_range_filter(orders, "o_orderdate", weeks[0], weeks[1])
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("basket_id"),
         F.col("l_partkey").alias("item_id"),
