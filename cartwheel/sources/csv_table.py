@@ -21,12 +21,27 @@ WRITE_OPTIONS = {
 }
 
 
+def safe_names(names: list[str]) -> list[str]:
+    """Spark's header rule: an empty name becomes ``_c<i>``, a repeated name gets its column
+    position appended (``name,name`` at positions 1 and 2 -> ``name1,name2``)."""
+    lowered = [n.lower() for n in names]
+    out = []
+    for i, n in enumerate(names):
+        if n == "":
+            out.append(f"_c{i}")
+        elif lowered.count(n.lower()) > 1:
+            out.append(f"{n}{i}")
+        else:
+            out.append(n)
+    return out
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names from the first line (read by Spark, one small job)."""
     first = spark.read.options(**{**READ_OPTIONS, "header": "false"}).csv(path).limit(1).collect()
     if not first:
         raise ValueError(f"{path}: file has no header line")
-    return [str(v) if v is not None else "" for v in first[0]]
+    return safe_names([str(v) if v is not None else "" for v in first[0]])
 
 
 def read_csv_table(spark: SparkSession, path: str, on_ragged: str = "fail",

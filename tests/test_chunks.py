@@ -75,3 +75,12 @@ def test_reader_ragged(spark):
     kept = read_csv_table(spark, path, on_ragged="keep").collect()
     bad = [r["_corrupt_record"] for r in kept if r["_corrupt_record"] is not None]
     assert sorted(b.strip() for b in bad) == ["4,5", "6,7,8,9"]
+
+
+def test_duplicate_and_empty_header_names(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="cw-csv-"), "d.csv")
+    with open(path, "wb") as fh:
+        fh.write(b"id,name,name,\r\n1,a,b,c\r\n")
+    df = read_csv_table(spark, path)
+    assert df.columns == ["id", "name1", "name2", "_c3"]
+    assert tuple(df.collect()[0]) == ("1", "a", "b", "c")
