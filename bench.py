@@ -22,7 +22,7 @@ HEADLINE = [
     "interactions", "popular_items", "weighted_random", "tfidf_weights", "bm25_weights",
     "item_item_neighbours", "item_item_recs", "metric_means", "recall_curve", "prefilter_items",
     "top_without_fake", "fill_popular", "candidate_union", "pair_features", "chunk_assign",
-    "similar_items_vectors", "similar_users", "content_based", "als_recs", "two_level_recs",
+    "similar_items_vectors", "similar_users", "content_based", "als_recs", "hybrid_fm_recs", "two_level_recs",
 ]
 
 
