@@ -98,3 +98,26 @@ def test_recall_never_falls_with_k(spark):
     recalls = [r["recall"] for r in per]
     assert recalls == sorted(recalls)
     assert all(0 <= r[m] <= 1 for r in per for m in NAMES)
+
+
+def test_long_form_equals_list_form_on_random_lists(spark):
+    import random
+    rnd = random.Random(11)
+    price = {i: float(rnd.randint(1, 500)) for i in range(40)}
+    price[7] = NAN
+    rows = []
+    for u in range(120):
+        rec = rnd.sample(range(40), rnd.randint(0, 12))
+        bought = rnd.sample(range(40), rnd.randint(0, 8))
+        rows.append((u, rec, bought, [price[i] for i in rec], [price[i] for i in bought]))
+    lists = spark.createDataFrame(rows, SCHEMA)
+    ks = (1, 3, 5, 10)
+    wide = {r["user_id"]: r for r in with_metrics(lists, ks).collect()}
+    recs = lists_to_long(lists).select("user_id", "item_id", "rank")
+    truth = lists.select("user_id", F.explode("bought_list").alias("item_id"))
+    prices = spark.createDataFrame(list(price.items()), "item_id bigint, price double")
+    long = metrics_per_user(recs, truth, ks, prices=prices, users=lists.select("user_id")).collect()
+    assert len(long) == 120 * len(ks)
+    for r in long:
+        for m in NAMES:
+            assert r[m] == pytest.approx(wide[r["user_id"]][f"{m}_at_{r['k']}"], abs=1e-12), (r["user_id"], m)
