@@ -110,12 +110,22 @@ def weighted_random_sql(weighting: str) -> str:
     return q(wrand_cte("wr", weighting), "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM wr")
 
 
-def pop_cte(name: str, n: int, measure: str = "count(*)") -> str:
+def pop_cte(name: str, n: int, measure: str = "count(*)", source: str = "train", users: str = "val_users") -> str:
     """Global top-n popular list ``item_id, rank`` and its per-user expansion ``<name>_recs``."""
     return f"""
 {name} AS (SELECT * FROM (SELECT item_id, m AS score, row_number() OVER (ORDER BY round(m, 9) DESC, item_id) AS rank
-  FROM (SELECT item_id, CAST({measure} AS DOUBLE) AS m FROM train GROUP BY item_id)) WHERE rank <= {n}),
-{name}_recs AS (SELECT u.user_id, p.item_id, p.rank, p.score FROM val_users u CROSS JOIN {name} p)"""
+  FROM (SELECT item_id, CAST({measure} AS DOUBLE) AS m FROM {source} GROUP BY item_id)) WHERE rank <= {n}),
+{name}_recs AS (SELECT u.user_id, p.item_id, p.rank, p.score FROM {users} u CROSS JOIN {name} p)"""
+
+
+def fill_cte(name: str, recs: str, pop: str, users: str, n: int) -> str:
+    """Model list first, then popular items not yet in it, cut to n: ``<name>(user_id, item_id, rank)``."""
+    return f"""
+{name}_all AS (SELECT user_id, item_id, rank AS r, 0 AS src FROM {recs}
+  UNION ALL SELECT u.user_id, p.item_id, 1000 + p.rank AS r, 1 AS src FROM {users} u CROSS JOIN {pop} p
+  WHERE NOT EXISTS (SELECT 1 FROM {recs} x WHERE x.user_id = u.user_id AND x.item_id = p.item_id)),
+{name} AS (SELECT * FROM (SELECT user_id, item_id, src, row_number() OVER (PARTITION BY user_id ORDER BY r) AS rank
+  FROM {name}_all) WHERE rank <= {n})"""
 
 
 PREFILTER_CTE = """
@@ -372,3 +382,33 @@ SELECT * FROM man
 UNION ALL SELECT CAST(count(*) // 1000 AS BIGINT), CAST(0 AS BIGINT), CAST(count(*) + 1 AS BIGINT),
   CAST(count(*) AS BIGINT) FROM orders HAVING count(*) % 1000 = 0"""),
 })
+
+
+# take 6, drop the fake item, keep 5 -- then MAP@5 and Precision@5 of those lists
+_FAKE_LISTS = PREFILTER_CTE + f""",
+ctrain AS (SELECT t.user_id, CASE WHEN k.item_id IS NOT NULL THEN t.item_id ELSE {FAKE_ITEM} END AS item_id
+  FROM train t LEFT JOIN pf k ON k.item_id = t.item_id),
+cmat AS (SELECT DISTINCT user_id, item_id, 1.0 AS weight FROM ctrain),""" + neighbours_cte("cmat", name="cnb") + "," \
+    + ii_recs_cte(6, "crecs", mat="cmat", nbrs="cnb", exclude_seen=False) + f""",
+fin AS (SELECT * FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY rank) AS rank
+  FROM crecs WHERE item_id <> {FAKE_ITEM}) WHERE rank <= {N_RECS})"""
+
+# recommendations from the weeks 96..98 only, scored on the following three weeks
+_WINDOW = f"""
+w_train AS (SELECT * FROM inter WHERE week_no BETWEEN {WEEK_LO} AND {WEEK_HI}),
+w_hold AS (SELECT * FROM inter WHERE week_no BETWEEN {WEEK_HI + 1} AND {WEEK_HI + 3}),
+w_users AS (SELECT DISTINCT user_id FROM w_hold),
+w_truth AS (SELECT user_id, item_id, sum(sales_value) AS spent FROM w_hold GROUP BY 1, 2),
+w_mat AS (SELECT DISTINCT user_id, item_id, 1.0 AS weight FROM w_train),""" + neighbours_cte("w_mat", name="wnb") + "," \
+    + ii_recs_cte(N_RECS, "wrecs", users="w_users", mat="w_mat", nbrs="wnb") + "," \
+    + pop_cte("wpop", N_RECS, source="w_train", users="w_users") + "," + fill_cte("wfin", "wrecs", "wpop", "w_users", N_RECS)
+
+SQL.update({
+    "fake_item_metrics": q(_FAKE_LISTS + ",\nfin_users AS (SELECT DISTINCT user_id FROM fin),"
+                           + metrics_cte("fin", (N_RECS,), name="fm5", users="fin_users"), """
+SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, CAST(count(*) AS BIGINT) AS n_users
+FROM fm5"""),
+    "window_quality_gate": q(_WINDOW + "," + metrics_cte("wfin", (N_RECS,), name="wm", users="w_users", truth="w_truth"), """
+SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, 0.22 AS threshold,
+  avg(precision) > 0.22 AS passes, CAST(count(*) AS BIGINT) AS n_users FROM wm"""),
+})

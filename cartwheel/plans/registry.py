@@ -27,7 +27,7 @@ from ..operators.popular import item_popularity, popular, popular_list, recs_fro
 from ..operators.postprocess import fill_popular, top_without
 from ..operators.prefilter import kept_items, prefilter_items
 from ..operators.random_recs import weighted_random_recs
-from ..operators.split import eval_users, week_range
+from ..operators.split import eval_users, truth_table, week_range
 from ..sources.chunks import chunk_manifest, chunk_rows
 from ..sources.retail import item_content, load_interactions, table, user_attributes
 from .evaluation import (best_worst, candidate_union, compare, evaluate, level_comparison, recall_curve,
@@ -133,15 +133,6 @@ def q_prefilter_items(spark, sf):
     return k.select("item_id", "n_users", r6("quantity"), r6("unit_price"), "last_week", "qty_rank")
 
 
-def q_top_without_fake(spark, sf):
-    f = Frame(spark, sf)
-    collapsed = prefilter_items(f.train, mode="collapse", fake_item_id=FAKE_ITEM, **PREFILTER_RULES)
-    mat = binary_matrix(collapsed)
-    nb = item_item_neighbours(mat, K_NEIGHBOURS)
-    six = item_item_recs(mat, nb, 6, f.val_users, exclude_seen=False)
-    return top_without(six, 6, [FAKE_ITEM], N_RECS).select("user_id", "item_id", "rank")
-
-
 def q_fill_popular(spark, sf):
     f = Frame(spark, sf)
     pop = [i for i, _ in popular_list(f.train, N_RECS, "count")]
@@ -389,6 +380,43 @@ def q_als_similar_items(spark, sf):
     return similar_from_factors(_als(f), 5, "item").select("item_id", "neighbour_id", "rank", r6("sim"))
 
 
+def _fake_lists(f: Frame) -> DataFrame:
+    collapsed = prefilter_items(f.train, mode="collapse", fake_item_id=FAKE_ITEM, **PREFILTER_RULES)
+    mat = binary_matrix(collapsed)
+    six = item_item_recs(mat, item_item_neighbours(mat, K_NEIGHBOURS), 6, f.val_users, exclude_seen=False)
+    return top_without(six, 6, [FAKE_ITEM], N_RECS)
+
+
+def q_top_without_fake(spark, sf):
+    return _fake_lists(Frame(spark, sf)).select("user_id", "item_id", "rank")
+
+
+def q_fake_item_metrics(spark, sf):
+    """MAP@5 and Precision@5 of the take-6 / drop-fake / keep-5 lists (users with a list)."""
+    f = Frame(spark, sf)
+    lists = _fake_lists(f)
+    m = mean_metrics(metrics_per_user(lists, f.truth, (N_RECS,), users=lists.select("user_id").distinct()))
+    return m.select(F.round("precision", 6).alias("precision_at_5"), F.round("ap", 6).alias("map_at_5"),
+                    F.col("n_users").cast("bigint").alias("n_users"))
+
+
+def q_window_quality_gate(spark, sf):
+    """Five recommendations from weeks 96..98 only (item-item + popular fill), scored on the next
+    three weeks as the hold-out; the gate passes above Precision@5 = 0.22."""
+    hist = load_interactions(spark, sf, weeks=(WEEK_LO, WEEK_HI))
+    hold = load_interactions(spark, sf, weeks=(WEEK_HI + 1, WEEK_HI + 3))
+    users = hold.select("user_id").distinct()
+    mat = binary_matrix(hist).persist(StorageLevel.MEMORY_AND_DISK)
+    recs = item_item_recs(mat, item_item_neighbours(mat, K_NEIGHBOURS), N_RECS, users)
+    pop = [i for i, _ in popular_list(hist, N_RECS, "count")]
+    filled = fill_popular(recs, users, pop, N_RECS)
+    means = mean_metrics(metrics_per_user(filled, truth_table(hold), (N_RECS,), users=users))
+    gate = quality_gate(means, "precision", N_RECS, 0.22)
+    return gate.join(means.select("k", F.round("ap", 6).alias("map_at_5"),
+                                  F.col("n_users").cast("bigint").alias("n_users")), "k").select(
+        F.round("value", 6).alias("precision_at_5"), "map_at_5", "threshold", "passes", "n_users")
+
+
 QUERIES: dict[str, Query] = {
     "interactions": q_interactions,
     "week_range": q_week_range,
@@ -435,4 +463,6 @@ QUERIES: dict[str, Query] = {
     "quality_gate": q_quality_gate,
     "chunk_manifest_reference": q_chunk_manifest_reference,
     "als_similar_items": q_als_similar_items,
+    "fake_item_metrics": q_fake_item_metrics,
+    "window_quality_gate": q_window_quality_gate,
 }
