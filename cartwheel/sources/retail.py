@@ -92,3 +92,32 @@ def user_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").alias("nation_key"), F.col("c_acctbal").alias("acctbal"))
+
+
+# Column types of the interactions schema.
+INTERACTION_TYPES = {"user_id": "bigint", "basket_id": "bigint", "item_id": "bigint", "week_no": "int",
+                     "quantity": "double", "sales_value": "double"}
+
+
+def interactions_from_csv(spark: SparkSession, path: str, columns: dict[str, str] | None = None,
+                          on_bad: str = "fail") -> DataFrame:
+    """Interactions from a text CSV (e.g. a separate hold-out file). ``columns`` maps our names to
+    the file's header names (identity by default); values are cast to the interaction types.
+    A value that does not parse fails the read (``on_bad='fail'``) or drops its row
+    (``on_bad='drop'``)."""
+    from .csv_table import read_csv_table
+    if on_bad not in ("fail", "drop"):
+        raise ValueError(f"unknown on_bad {on_bad!r}")
+    raw = read_csv_table(spark, path)
+    mapping = columns or {c: c for c in INTERACTION_COLUMNS}
+
+    def conv(src: str, typ: str):
+        c = F.col(f"`{src}`")
+        return c.try_cast(typ) if on_bad == "drop" else c.cast(typ)
+
+    out = raw.select(*[conv(src, INTERACTION_TYPES[dst]).alias(dst) for dst, src in mapping.items()])
+    for c in INTERACTION_COLUMNS:
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast(INTERACTION_TYPES[c]))
+    out = out.select(*INTERACTION_COLUMNS)
+    return out.dropna(subset=["user_id", "item_id", "week_no"]) if on_bad == "drop" else out

@@ -84,3 +84,23 @@ def test_duplicate_and_empty_header_names(spark):
     df = read_csv_table(spark, path)
     assert df.columns == ["id", "name1", "name2", "_c3"]
     assert tuple(df.collect()[0]) == ("1", "a", "b", "c")
+
+
+def test_holdout_csv_replaces_validation_block(spark):
+    from cartwheel.operators.split import split_two_level
+    from cartwheel.sources.retail import interactions_from_csv
+    path = os.path.join(tempfile.mkdtemp(prefix="cw-csv-"), "holdout.csv")
+    with open(path, "w") as fh:
+        fh.write("household_key,BASKET_ID,PRODUCT_ID,WEEK_NO,QUANTITY,SALES_VALUE\n"
+                 "1,10,100,96,2,3.5\n2,11,101,97,1,1.25\nx,12,102,98,1,1.0\n")
+    hold = interactions_from_csv(spark, path, {"user_id": "household_key", "basket_id": "BASKET_ID",
+                                               "item_id": "PRODUCT_ID", "week_no": "WEEK_NO",
+                                               "quantity": "QUANTITY", "sales_value": "SALES_VALUE"},
+                                 on_bad="drop")
+    assert hold.dtypes == [("user_id", "bigint"), ("basket_id", "bigint"), ("item_id", "bigint"),
+                           ("week_no", "int"), ("quantity", "double"), ("sales_value", "double")]
+    rows = hold.orderBy("user_id").collect()
+    assert [(r["user_id"], r["item_id"], r["sales_value"]) for r in rows] == [(1, 100, 3.5), (2, 101, 1.25)]
+    base = spark.createDataFrame([(1, 1, 5, 10, 1.0, 1.0)], hold.schema)
+    _, _, val = split_two_level(base, 20, 30, holdout=hold)
+    assert val.count() == 2
