@@ -372,7 +372,7 @@ fin AS (SELECT * FROM (SELECT user_id, item_id, src, row_number() OVER (PARTITIO
 
 SQL.update({
     "quality_gate": q(_FILL + "," + metrics_cte("fin", (N_RECS,), name="qg"), """
-SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, 0.22 AS threshold,
+SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, CAST(0.22 AS DOUBLE) AS threshold,
   avg(precision) > 0.22 AS passes FROM qg"""),
     "chunk_manifest_reference": q("""
 num AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders),
@@ -409,6 +409,6 @@ SQL.update({
 SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, CAST(count(*) AS BIGINT) AS n_users
 FROM fm5"""),
     "window_quality_gate": q(_WINDOW + "," + metrics_cte("wfin", (N_RECS,), name="wm", users="w_users", truth="w_truth"), """
-SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, 0.22 AS threshold,
+SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, CAST(0.22 AS DOUBLE) AS threshold,
   avg(precision) > 0.22 AS passes, CAST(count(*) AS BIGINT) AS n_users FROM wm"""),
 })

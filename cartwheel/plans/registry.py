@@ -30,7 +30,7 @@ from ..operators.random_recs import weighted_random_recs
 from ..operators.split import eval_users, truth_table, week_range
 from ..sources.chunks import chunk_manifest, chunk_rows
 from ..sources.retail import item_content, load_interactions, table, user_attributes
-from .evaluation import (best_worst, candidate_union, compare, evaluate, level_comparison, recall_curve,
+from .evaluation import (best_worst, candidate_union, compare, level_comparison, recall_curve,
                          result_table, summary_table)
 from .selection import grid_report, mark_best, quality_gate
 from .setup import (EVAL_KS, FAKE_ITEM, K_NEIGHBOURS, LEVEL2_START, N_CANDIDATES, N_RECS, SEED, WEEK_HI,
