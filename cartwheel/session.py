@@ -42,8 +42,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (local tests) a scratch folder is
-    created and registered. On a cluster this must be a shared file system path.
+    The setting is read from the session; only when it is unset and the master is local (tests) a
+    scratch folder is created and registered. On a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors: refuse instead of guessing
+            raise ValueError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
         conf_dir = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
