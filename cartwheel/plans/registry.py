@@ -375,6 +375,11 @@ def q_chunk_manifest_reference(spark, sf):
     return chunk_manifest(ch, trailing_empty=True, chunk_size=1000)
 
 
+def q_als_similar_users(spark, sf):
+    f = Frame(spark, sf)
+    return similar_from_factors(_als(f), 5, "user").select("user_id", "neighbour_id", "rank", r6("sim"))
+
+
 def q_als_similar_items(spark, sf):
     f = Frame(spark, sf)
     return similar_from_factors(_als(f), 5, "item").select("item_id", "neighbour_id", "rank", r6("sim"))
@@ -463,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "quality_gate": q_quality_gate,
     "chunk_manifest_reference": q_chunk_manifest_reference,
     "als_similar_items": q_als_similar_items,
+    "als_similar_users": q_als_similar_users,
     "fake_item_metrics": q_fake_item_metrics,
     "window_quality_gate": q_window_quality_gate,
 }
