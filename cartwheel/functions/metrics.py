@@ -63,9 +63,11 @@ def metrics_per_user(recs: DataFrame, truth: DataFrame, ks: Sequence[int],
     Returns ``user_id, k, n_hits, n_true`` and one column per metric.
     """
     ks = _check_ks(ks)
+    truth_priced = _priced_truth(truth, prices)
     r = recs.filter(F.col("rank") <= ks[-1]).select("user_id", "item_id", "rank")
-    hits = r.join(truth.select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
-    return _from_hits(hits, truth, ks, prices, users, nan_policy)
+    # a hit is a bought item, so its price comes with the purchase row: one join gives both
+    hits = r.join(truth_priced, ["user_id", "item_id"])
+    return _from_hits(hits, truth_priced, ks, users, nan_policy)
 
 
 def metrics_for_global_list(items: DataFrame, truth: DataFrame, ks: Sequence[int],
@@ -75,11 +77,12 @@ def metrics_for_global_list(items: DataFrame, truth: DataFrame, ks: Sequence[int
     (popularity). Hits come from joining the purchases with the list, broadcast (its length is
     bounded by max(ks)), so the users x list rows are never built."""
     ks = _check_ks(ks)
+    truth_priced = _priced_truth(truth, prices)
     lst = items.filter(F.col("rank") <= ks[-1]).select("item_id", "rank")
-    hits = truth.select("user_id", "item_id").join(F.broadcast(lst), "item_id")
+    hits = truth_priced.join(F.broadcast(lst), "item_id")
     if users is not None:
         hits = hits.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    return _from_hits(hits, truth, ks, prices, users, nan_policy)
+    return _from_hits(hits, truth_priced, ks, users, nan_policy)
 
 
 def _check_ks(ks: Sequence[int]) -> list[int]:
@@ -89,16 +92,17 @@ def _check_ks(ks: Sequence[int]) -> list[int]:
     return ks
 
 
-def _from_hits(hits: DataFrame, truth: DataFrame, ks: list[int], prices: DataFrame | None,
-               users: DataFrame | None, nan_policy: str) -> DataFrame:
+def _priced_truth(truth: DataFrame, prices: DataFrame | None) -> DataFrame:
+    """Distinct bought pairs with the item price (0 without a price table)."""
+    pairs = truth.select("user_id", "item_id")
+    if prices is None:
+        return pairs.withColumn("price", F.lit(0.0))
+    return pairs.join(prices.select("item_id", "price"), "item_id", "left")
+
+
+def _from_hits(hits: DataFrame, truth_priced: DataFrame, ks: list[int], users: DataFrame | None,
+               nan_policy: str) -> DataFrame:
     k_array = F.array(*[F.lit(k) for k in ks])
-    truth_pairs = truth.select("user_id", "item_id")
-    if prices is not None:
-        hits = hits.join(prices.select("item_id", "price"), "item_id", "left")
-        truth_priced = truth_pairs.join(prices.select("item_id", "price"), "item_id", "left")
-    else:
-        hits = hits.withColumn("price", F.lit(0.0))
-        truth_priced = truth_pairs.withColumn("price", F.lit(0.0))
     hits = hits.withColumn("price", _clean_price(F.col("price"), nan_policy))
     # at most max_k hit rows per user: the window never sees an unbounded group
     hits = hits.withColumn(
