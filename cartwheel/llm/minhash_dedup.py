@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +80,7 @@ SET_SCHEMA = "doc_id long, set_key binary, shingles array<long>"
 _SET = pa.schema([("doc_id", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
-def _pieces(batches):
+def pieces(batches):
     """Bounded lists of (ids, texts)."""
     for batch in batches:
         ids, texts, size = [], [], 0
@@ -102,7 +103,7 @@ def _set_key(s: np.ndarray) -> bytes:
 
 def _sign(k: int, rows: int, groups: int, seed: int):
     def run(batches):
-        for ids, texts in _pieces(batches):
+        for ids, texts in pieces(batches):
             s, first = shingle_sets(texts, k)
             size = np.diff(first)
             full = np.flatnonzero(size)
@@ -122,7 +123,7 @@ def _sign(k: int, rows: int, groups: int, seed: int):
 
 def _sets(k: int):
     def run(batches):
-        for ids, texts in _pieces(batches):
+        for ids, texts in pieces(batches):
             s, first = shingle_sets(texts, k)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(s.view(np.int64)))
             keys = [_set_key(s[a:b]) for a, b in zip(first[:-1], first[1:])]
@@ -151,11 +152,13 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
 
 
-class _Linker:
-    """Finds the components of classes that share table keys."""
+class Linker:
+    """Finds the components of classes (ck, of size n) that share keys: ``members`` holds key, ck, n.
 
-    def __init__(self, members: DataFrame, sets: DataFrame, percent: int):
-        self.members, self.sets, self.percent = members, sets, percent  # members: key, ck, n
+    ``fits(n, m)`` is a bound from the sizes, ``similar(pairs)`` keeps the pairs (a, b) that are truly linked."""
+
+    def __init__(self, members: DataFrame, fits: Callable, similar: Callable[[DataFrame], DataFrame]):
+        self.members, self.fits, self.similar = members, fits, similar
         self.edges: list[DataFrame] = []
         self.labels: DataFrame | None = None
 
@@ -171,18 +174,9 @@ class _Linker:
         keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         return rows.join(keys, "key", "left_semi")
 
-    def fits(self, n: str, m: str):
-        """The least size over the greatest bounds the similarity."""
-        return 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
-
     def verify(self, pairs: DataFrame) -> None:
-        """Take over the pairs (a, b) whose sets are similar."""
-        left = self.sets.select(F.col("ck").alias("a"), F.col("shingles").alias("sa"))
-        right = self.sets.select(F.col("ck").alias("b"), F.col("shingles").alias("sb"))
-        common = F.size(F.array_intersect("sa", "sb"))
-        tested = pairs.join(left, "a").join(right, "b").withColumn("c", common)
-        found = scratch(tested.where(100 * F.col("c") >= self.percent * (F.size("sa") + F.size("sb") - F.col("c"))).select("a", "b"), "links")
-        self.edges.append(found)
+        """Take over the pairs that are linked."""
+        self.edges.append(scratch(self.similar(pairs), "links"))
         every = self.edges[0]
         for e in self.edges[1:]:
             every = every.unionByName(e)
@@ -198,7 +192,7 @@ class _Linker:
                 return
             if left <= pairs_per_class * n:  # few: every remaining pair between components
                 other = rows.select("key", F.col("ck").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-                pairs = rows.join(other, "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits("n", "m"))
+                pairs = rows.join(other, "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
                 self.verify(pairs.select(F.col("ck").alias("a"), "b").distinct())
                 return
             company = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
@@ -206,12 +200,20 @@ class _Linker:
             pivot = (rows.join(weight, "ck").groupBy("key").agg(F.max(F.struct("w", "ck", "n", "label")).alias("p"))
                      .select("key", F.col("p.ck").alias("b"), F.col("p.n").alias("m"), F.col("p.label").alias("lb")))
             pivot = scratch(pivot, "pivots")
-            pairs = rows.join(pivot, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits("n", "m"))
+            pairs = rows.join(pivot, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
             self.verify(pairs.select(F.least("ck", "b").alias("a"), F.greatest("ck", "b").alias("b")).distinct())
             # a pivot has met all others of its key; it has no more to find there
             self.members = scratch(rows.select("key", "ck", "n").join(pivot.select("key", F.col("b").alias("ck")), ["key", "ck"], "left_anti"), "members")
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    left = sets.select(F.col("ck").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("ck").alias("b"), F.col("shingles").alias("sb"))
+    tested = pairs.join(left, "a").join(right, "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
+    return tested.where(100 * F.col("c") >= percent * (F.size("sa") + F.size("sb") - F.col("c"))).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows: int = 2, groups: int | None = None, seed: int = 7) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more.
 
@@ -237,7 +239,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     mine = texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(shingle), SET_SCHEMA)
     sets = mine.join(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     sets = scratch(sets.dropDuplicates(["set_key"]).select(F.col("set_key").alias("ck"), "shingles"), "sets")
-    linker = _Linker(members, sets, percent)
+    linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent))
     linker.run()
     labelled = linker.labelled(classes.select("ck", "rep", "size"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -245,3 +247,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     linked = join_groups(grouped.select("doc_id", "n_shingles", "set_key"), decided, "set_key", "size").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """All columns of the documents that stay, one of each component (see ``near_duplicates``)."""
+    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

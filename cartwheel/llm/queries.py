@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import scratch, utf8
+from .decontaminate import MIN_LITERALS, TEMPLATE, WINDOW, decontaminate, sql_canonical
 from .exact_dedup import digests, exact_dedup
+from .fixity import Tree, audit, manifest, replica
+from .hmm import hmm_scores
+from .line_dedup import line_dedup
 from .minhash_dedup import near_duplicates
+from .mixing import mix
+from .quality import quality_scores
+from .sharding import shard_table
 from .substring_dedup import substring_dedup
-from .common import scratch, utf8
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +41,47 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_minhash_dedup)}
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a replica of the pages' WARC volumes in which some records rotted: of every 101 pages one has a
+    flipped byte, of every 211 one is lost. One row per record; ``intact`` is what the audit says."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    flipped = F.concat(F.lit(b"X"), F.expr("substring(record, 2)"))
+    copy = F.when(F.col("page_id") % 211 == 8, F.lit(None)).when(F.col("page_id") % 101 == 7, flipped).otherwise(F.col("record"))
+    records = replica(pages).withColumn("copy", copy).withColumn("copy_length", F.length("copy").cast("long")).withColumn("copy_digest", F.sha2("copy", 256))
+    listed = scratch(manifest(records, "copy_length", "copy_digest"), "manifest")
+    seen = listed.select("volume", "place", "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest"))
+    found = audit(Tree(listed, "one"), Tree(seen, "other")).withColumn("bad", F.lit(True))
+    out = listed.join(found, ["volume", "place"], "left")
+    return out.select("page_id", "volume", "place", "offset", "length", "digest", F.col("bad").isNull().alias("intact"))
+
+
+def op5_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir).select("doc_id", "source"))
+
+
+def op7_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_table(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op9_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scores(documents(spark, sf_dir))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_minhash_dedup, op4_warc_fixity, op5_quality_qda, op6_pfair_mix, op7_lpt_shards,
+                                    op8_template_decontamination, op9_hmm_scores, op10_line_dedup)}
 
 SQL = {
     "op1_exact_dedup": """
@@ -62,4 +109,31 @@ pairs AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON pairs.a = reach.b)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM d JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op4_warc_fixity": """
+WITH r AS (SELECT page_id, CAST(floor(page_id / 1024) AS BIGINT) AS volume, encode('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)) AS record FROM pages)
+SELECT page_id, volume, row_number() OVER w - 1 AS place, CAST(coalesce(sum(octet_length(record)) OVER (PARTITION BY volume ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+  octet_length(record) AS length, sha256(record) AS digest, NOT (page_id % 101 = 7 OR page_id % 211 = 8) AS intact FROM r WINDOW w AS (PARTITION BY volume ORDER BY page_id)""",
+    "op8_template_decontamination": f"""
+WITH c AS (SELECT 'd' AS side, doc_id AS id, {sql_canonical()} AS c FROM documents UNION ALL SELECT 'b', item_id, {sql_canonical()} FROM benchmark),
+t AS (SELECT side, id, string_split(c, ' ') AS v, string_split(regexp_replace(c, '{TEMPLATE[0]}', '\\1', 'g'), ' ') AS t FROM c WHERE c <> ''),
+w AS (SELECT side, id, i, n, list_slice(v, i, i + n - 1) AS v, list_slice(t, i, i + n - 1) AS t
+  FROM (SELECT *, least(len(t), {WINDOW}) AS n, unnest(range(1, CAST(len(t) - least(len(t), {WINDOW}) + 2 AS BIGINT))) AS i FROM t)),
+k AS (SELECT side, id, i, n, array_to_string(t, ' ') AS template, CASE WHEN len(list_filter(v, lambda x: ascii(x) < 5)) = 0 THEN '' ELSE CAST(list_transform(v, lambda x: CASE WHEN ascii(x) < 5 THEN list_position(v, x) ELSE 0 END) AS VARCHAR) END AS pattern,
+  len(list_filter(v, lambda x: ascii(x) >= 5)) AS literals FROM w),
+b AS (SELECT template, pattern, min(id) AS item_id FROM k WHERE side = 'b' AND literals >= {MIN_LITERALS} GROUP BY 1, 2),
+short AS (SELECT DISTINCT n FROM k WHERE side = 'b' AND literals >= {MIN_LITERALS} AND n < {WINDOW}),
+h AS (SELECT k.id, count(*) AS n_hits, min(item_id) AS item_id FROM k JOIN b USING (template, pattern) WHERE side = 'd' GROUP BY 1)
+SELECT doc_id, n_hits IS NOT NULL AS contaminated, coalesce(n_hits, 0) AS n_hits, coalesce(item_id, -1) AS item_id FROM documents LEFT JOIN h ON h.id = doc_id""",
+    "op10_line_dedup": """
+WITH RECURSIVE s AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text <> ''),
+l AS (SELECT doc_id, unnest(a) AS line, unnest(range(0, len(a))) AS line_no FROM s),
+u AS (SELECT line, min((doc_id, line_no)) AS first, length(line) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY line),
+near AS (SELECT a.line AS a, b.line AS b FROM u a JOIN (SELECT *, unnest([n - 2, n - 1, n, n + 1, n + 2]) AS m FROM u WHERE n >= 20) b ON a.n = b.m
+  WHERE a.n >= 20 AND a.line <> b.line AND levenshtein(encode(a.line)::VARCHAR, encode(b.line)::VARCHAR) <= 2),
+reach(a, b) AS (SELECT line, line FROM u UNION SELECT reach.a, near.b FROM reach JOIN near ON near.a = reach.b),
+stays AS (SELECT r.a AS line, min(u.first) AS first FROM reach r JOIN u ON u.line = r.b GROUP BY r.a),
+gone AS (SELECT doc_id, count(*) AS n_removed, list(CAST(line_no AS INTEGER) ORDER BY line_no) AS removed_lines FROM l JOIN stays USING (line) WHERE (doc_id, line_no) <> first GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(a), 0) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, []) AS removed_lines
+FROM documents d LEFT JOIN s USING (doc_id) LEFT JOIN gone USING (doc_id)""",
 }
