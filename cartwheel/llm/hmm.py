@@ -250,6 +250,17 @@ def _maximise(model: Hmm, total: np.ndarray, smooth: float = 0.5) -> Hmm:
     return Hmm(start / start.sum(), move / move.sum(1, keepdims=True), emit / np.maximum(emit.sum(1, keepdims=True), 1e-300), model.mass)
 
 
+def reserve_unknown(model: Hmm, top: int, share: float) -> Hmm:
+    """Give ``share`` of each state's probability of words seen once to the unknown word, which no training text holds.
+
+    A word seen once would be unknown without its own text, so this is the leave-one-out estimate, damped."""
+    once = slice(top + KINDS, top + 2 * KINDS)
+    emit = model.emit.copy()
+    emit[:, top] += share * emit[:, once].sum(1)
+    emit[:, once] *= 1 - share
+    return Hmm(model.start, model.move, emit, model.mass)
+
+
 def log_likelihoods(model: Hmm, seq: np.ndarray, size: np.ndarray) -> np.ndarray:
     """log10 likelihood of each class sequence by the scaled forward recursion, all sequences side by side."""
     out = np.zeros(len(size))
@@ -300,7 +311,7 @@ def train(sequences: DataFrame, mass: np.ndarray, states: int, rounds: int, seed
     return model
 
 
-def hmm_scores(docs: DataFrame, states: int = 6, top: int = 2000, rounds: int = 4, folds: int = 7, held: int = 2, chunk_bytes: int = 4 << 20, seed: int = 5) -> DataFrame:
+def hmm_scores(docs: DataFrame, states: int = 6, top: int = 2000, rounds: int = 4, folds: int = 7, held: int = 2, chunk_bytes: int = 4 << 20, seed: int = 5, unknown_share: float = 0.5) -> DataFrame:
     """Score every whole text under a hidden Markov model and under the unigram base.
 
     Learns from rows whose crc32(doc_id as text) mod ``folds`` is not ``held``. Words are lower-cased (A-Z); each text
@@ -326,5 +337,7 @@ def hmm_scores(docs: DataFrame, states: int = 6, top: int = 2000, rounds: int =
     mass /= vocab.tokens + vocab.words + 1
     joined = with_answers(chunks, answers.where("chunk_id <> -1"), "counts")
     sequences = scratch(joined.mapInArrow(_sequences(vocab, folds, held), SEQ_SCHEMA), "sequences")
-    model = train(sequences, mass, states, rounds, seed) if states > 1 and vocab.tokens else Hmm(np.ones(1), np.ones((1, 1)), mass[None, :], mass)
+    model = Hmm(np.ones(1), np.ones((1, 1)), mass[None, :], mass)
+    if states > 1 and vocab.tokens:
+        model = reserve_unknown(train(sequences, mass, states, rounds, seed), top_n, unknown_share)
     return sequences.mapInArrow(_score(model, vocab.tokens), OUT_SCHEMA)
