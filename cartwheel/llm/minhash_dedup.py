@@ -7,11 +7,12 @@ Tensored banding: two small collections of groups of minhashes, U and V. A table
 Pairing happens only between groups that occur in two different sets, which few do.
 
 Sets, not documents, are compared: documents with equal sets are one class. In each key the classes
-are linked through pivots, never all with all: the member with most company is compared with all
+are linked through pivots, not all with all: the member with most company is compared with all
 others; who proves similar joins its component. A key whose members are in one component is
-done. Only keys left with several components go on, with a next pivot, and when few pairs remain all of those
-between different components are compared. So no link is lost by the pivots. Links are confirmed
-exactly (integers: 100 * common >= percent * united) on the full sets of 64-bit shingle hashes.
+done. For classes in keys left with several components a sketch is counted: by hash bin, the shingles that another
+open class has, too. The lesser counts of all bins bound what two sets can have in common; members of a key are
+compared by these bounds in blocks, and only pairs that can be similar come out. So no link is lost by the
+pivots. Links are confirmed exactly (integers: 100 * common >= percent * united) on the full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import math
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,10 +157,15 @@ def components(edges: DataFrame) -> DataFrame:
 class Linker:
     """Finds the components of classes (ck, of size n) that share keys: ``members`` holds key, ck, n.
 
-    ``fits(n, m)`` is a bound from the sizes, ``similar(pairs)`` keeps the pairs (a, b) that are truly linked."""
+    ``fits(n, m)`` is a bound from the sizes; ``similar(pairs)`` keeps the pairs (a, b) that are truly linked. Optional:
+    ``sketch(classes)`` gives (ck, s, x) for the classes left open by the first pivots, and ``promising(rows)`` from them the pairs
+    (a, b) of different labels that can be linked at all; ``hopeful`` tells which classes can be linked with any other."""
 
-    def __init__(self, members: DataFrame, fits: Callable, similar: Callable[[DataFrame], DataFrame]):
+    def __init__(self, members: DataFrame, fits: Callable, similar: Callable[[DataFrame], DataFrame], sketch: Callable[[DataFrame], DataFrame] | None = None,
+                 promising: Callable[[DataFrame], DataFrame] | None = None, hopeful: str = "true"):
         self.members, self.fits, self.similar = members, fits, similar
+        self.sketch, self.promising, self.hopeful = sketch, promising, hopeful
+        self.sketched = False
         self.edges: list[DataFrame] = []
         self.labels: DataFrame | None = None
 
@@ -171,7 +178,7 @@ class Linker:
     def open_rows(self) -> DataFrame:
         """Members of the keys that still hold several components."""
         rows = self.labelled(self.members)
-        keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+        keys = rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
         return rows.join(keys, "key", "left_semi")
 
     def verify(self, pairs: DataFrame) -> None:
@@ -182,28 +189,97 @@ class Linker:
             every = every.unionByName(e)
         self.labels = scratch(components(every), "labels")
 
-    def run(self, pairs_per_class: int = 4) -> None:
-        n = self.members.select("ck").distinct().count()
+    def run(self, pairs_per_row: int = 4) -> None:
+        """Link until no key holds two components that could still be joined. Members are compared with all others of
+        their key only when there are at most ``pairs_per_row`` such pairs for each row of ``members``, or when the sketches
+        tell which pairs are worth a look; before that, pivots shrink the number."""
+        n = self.members.count()
         while True:
             rows = scratch(self.open_rows(), "open")
             sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("q"))
             left = sizes.agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2)).first()[0] or 0
             if not left:
                 return
-            if left <= pairs_per_class * n:  # few: every remaining pair between components
-                other = rows.select("key", F.col("ck").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-                pairs = rows.join(other, "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
-                self.verify(pairs.select(F.col("ck").alias("a"), "b").distinct())
-                return
-            company = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-            weight = rows.join(company, "key").groupBy("ck").agg(F.sum("c").alias("w"))
-            pivot = (rows.join(weight, "ck").groupBy("key").agg(F.max(F.struct("w", "ck", "n", "label")).alias("p"))
-                     .select("key", F.col("p.ck").alias("b"), F.col("p.n").alias("m"), F.col("p.label").alias("lb")))
-            pivot = scratch(pivot, "pivots")
-            pairs = rows.join(pivot, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
+            if self.sketched:
+                return self.verify(self.promising(rows))
+            if left <= pairs_per_row * n:
+                return self.verify(self.between(rows))
+            pivots = scratch(self.pivots(rows), "pivots")
+            pairs = rows.join(pivots, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
             self.verify(pairs.select(F.least("ck", "b").alias("a"), F.greatest("ck", "b").alias("b")).distinct())
             # a pivot has met all others of its key; it has no more to find there
-            self.members = scratch(rows.select("key", "ck", "n").join(pivot.select("key", F.col("b").alias("ck")), ["key", "ck"], "left_anti"), "members")
+            rest = rows.select("key", "ck", "n").join(pivots.select("key", F.col("b").alias("ck")), ["key", "ck"], "left_anti")
+            self.members = scratch(rest, "members")
+            if self.sketch is not None:
+                own = scratch(self.sketch(self.open_rows().select("ck").distinct()), "sketches")
+                self.members = scratch(self.members.join(own, "ck").where(self.hopeful), "members")
+                self.sketched = True
+
+    def pivots(self, rows: DataFrame) -> DataFrame:
+        """Of each key, the member with most company in all its keys."""
+        company = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        weight = rows.join(company, "key").groupBy("ck").agg(F.sum("c").alias("w"))
+        best = rows.join(weight, "ck").groupBy("key").agg(F.max(F.struct("w", "ck", "n", "label")).alias("p"))
+        return best.select("key", F.col("p.ck").alias("b"), F.col("p.n").alias("m"), F.col("p.label").alias("lb"))
+
+    def between(self, rows: DataFrame) -> DataFrame:
+        """The pairs of a key in different components that the sizes leave."""
+        other = rows.select("key", F.col("ck").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
+        pairs = rows.join(other, "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
+        return pairs.select(F.col("ck").alias("a"), "b").distinct()
+
+
+BINS = 48
+BLOCK = 1024  # members of a key that are compared with as many others in one step
+
+
+def _bins(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """ck, s, x: number of those shingles of each of the classes that any other of them has, too, in all and by hash bin (packed)."""
+    shingles = sets.join(classes, "ck", "left_semi").select("ck", F.explode("shingles").alias("s"))
+    once = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("ck").alias("ck")).where("c = 1")
+    signed = shingles.withColumn("w", F.lit(1)).unionByName(once.select("ck", "s", F.lit(-1).alias("w"))).withColumn("bin", F.pmod("s", F.lit(BINS)))
+    counts = [F.coalesce(F.sum(F.when(F.col("bin") == k, F.col("w"))), F.lit(0)).alias(f"b{k}") for k in range(BINS)]
+    digits = F.concat(*(F.lpad(F.hex(f"b{k}"), 8, "0") for k in range(BINS)))
+    return signed.groupBy("ck").agg(F.sum("w").alias("s"), *counts).select("ck", "s", F.unhex(digits).alias("x"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows with the group they are compared in: small keys many to a group, a key of more than BLOCK members split into
+    blocks, each pair of blocks a group. ``side`` is -1 where all members of a key meet, else the block."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    small = F.pmod(F.xxhash64("key"), F.lit(rows.count() // (16 * BLOCK) + 1))
+    n = rows.join(sizes, "key").withColumn("nb", F.expr(f"cast((c + {BLOCK} - 1) div {BLOCK} as int)")).withColumn("side", F.pmod(F.xxhash64("ck"), F.col("nb")).cast("int"))
+    single = n.where("nb = 1").select(small.cast("string").alias("g"), F.lit(0).alias("p"), F.lit(0).alias("q"), "key", F.lit(-1).alias("side"), "ck", "n", "label", "s", "x")
+    split = n.where("nb > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    split = split.select(F.concat(F.lit("k"), F.col("key").cast("string")).alias("g"), F.least("side", "o").alias("p"), F.greatest("side", "o").alias("q"), "key", "side", "ck", "n", "label", "s", "x")
+    return single.unionByName(split)
+
+
+def _promising(percent: int):
+    """Pairs of a group that can be similar: at most the lesser count of each bin can be common."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key", kind="stable")
+        ck, label = pdf["ck"].to_numpy(), pd.factorize(pdf["label"])[0]
+        n, s, side = (pdf[c].to_numpy(np.int64) for c in ("n", "s", "side"))
+        x = np.frombuffer(b"".join(pdf["x"]), ">u4").reshape(-1, BINS).astype(np.int64)
+        mixed = pdf["p"].iloc[0] != pdf["q"].iloc[0]
+        at = np.flatnonzero(np.concatenate([[True], np.diff(pdf["key"].to_numpy()) != 0]))
+        found = set()
+        for lo, hi in zip(at, [*at[1:], len(pdf)]):
+            for a in range(lo, hi, 256):
+                i, j = np.arange(a, min(a + 256, hi)), np.arange(lo, hi)
+                common = np.minimum(s[i][:, None], s[j])
+                ok = (label[i][:, None] != label[j]) & (100 * common >= percent * (n[i][:, None] + n[j] - common))
+                ok &= side[i][:, None] < side[j] if mixed else i[:, None] < j
+                u, v = np.nonzero(ok)
+                u, v = i[u], j[v]
+                for part in np.array_split(np.arange(len(u)), len(u) // 65536 + 1):
+                    k, m = u[part], v[part]
+                    common = np.minimum(x[k], x[m]).sum(1)
+                    hit = 100 * common >= percent * (n[k] + n[m] - common)
+                    found.update((min(ck[y], ck[z]), max(ck[y], ck[z])) for y, z in zip(k[hit], m[hit]))
+        return pd.DataFrame(list(found), columns=["a", "b"])
+    return run
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +315,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     mine = texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(shingle), SET_SCHEMA)
     sets = mine.join(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     sets = scratch(sets.dropDuplicates(["set_key"]).select(F.col("set_key").alias("ck"), "shingles"), "sets")
-    linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent))
+    linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent), lambda classes: _bins(classes, sets),
+                    lambda rows: _blocks(rows).groupBy("g", "p", "q").applyInPandas(_promising(percent), "a binary, b binary").distinct(), f"100 * s >= {percent} * n")
     linker.run()
     labelled = linker.labelled(classes.select("ck", "rep", "size"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
