@@ -134,7 +134,7 @@ def _sets(k: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node that each node of the edges (a, b) is connected with.
+    """(node, label): the least node that each other node of the edges (a, b) is connected with (the least itself is not listed).
 
     Large-star and small-star steps until nothing changes. Each is an aggregation, merged before its
     shuffle, and a join; a node with very many neighbours is a skewed join key, which AQE splits."""

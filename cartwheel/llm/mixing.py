@@ -47,6 +47,9 @@ def smoothed_parts(counts: dict[str, int], power: float = 0.9, total: int = 10_0
     return {s: a // shared for s, a in parts.items()}
 
 
+PLACED = ("block", "epoch", "slot", "place")
+
+
 def mix(docs: DataFrame, parts: dict[str, int] | None = None, block_rows: int = 32, power: float = 0.9) -> DataFrame:
     """Interleave whole blocks of the sources in the proportion of ``parts`` (source -> integer weight).
 
@@ -56,6 +59,17 @@ def mix(docs: DataFrame, parts: dict[str, int] | None = None, block_rows: int =
     the block). A null source counts as the empty name. Each source present needs a weight; weights of absent
     sources are ignored. Repeated rows are rows like others. An empty table gives no rows.
     The number of sources is bounded by the weights' sum (at most 100,000)."""
+    out = _placed(docs, parts, block_rows, power)
+    return out.select(*(c for c in docs.columns if c not in PLACED), *(F.col(f"_{c}").alias(c) for c in PLACED))
+
+
+def mixed_documents(docs: DataFrame, parts: dict[str, int] | None = None, block_rows: int = 32, power: float = 0.9) -> DataFrame:
+    """The columns of ``docs`` only, rows in the order of the mix (see ``mix``): written files follow the schedule."""
+    out = _placed(docs, parts, block_rows, power)
+    return out.repartitionByRange("_slot").sortWithinPartitions("_slot", "_place").select(*docs.columns)
+
+
+def _placed(docs: DataFrame, parts: dict[str, int] | None, block_rows: int, power: float) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.withColumn("_source", F.coalesce(F.col("source"), F.lit("")))
     found = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).limit(MAX_PARTS + 1).collect()
@@ -82,12 +96,12 @@ def mix(docs: DataFrame, parts: dict[str, int] | None = None, block_rows: int =
     n_rows = sum(counts.values())
     placed = numbered(rows, "_source", ["doc_id"], "_i", n_rows)
     placed = placed.join(F.broadcast(facts), "_source")
-    placed = placed.withColumn("block", F.expr(f"_i div {block_rows}")).withColumn("place", F.col("_i") % block_rows)
+    placed = placed.withColumn("_block", F.expr(f"_i div {block_rows}")).withColumn("_place", F.col("_i") % block_rows)
     rounds = F.expr(f"cast(({end} div {max(cycle, 1)} + 1) * _a div _blocks + 1 as int)")  # no less than its epochs
-    placed = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0), rounds))).withColumn("_q", F.col("block") + F.col("epoch") * F.col("_blocks"))
+    placed = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0), rounds))).withColumn("_q", F.col("_block") + F.col("_epoch") * F.col("_blocks"))
     placed = placed.withColumn("_j", F.expr("_q % _a")).join(F.broadcast(table), ["_code", "_j"])
-    placed = placed.withColumn("slot", F.expr(f"(_q div _a) * {cycle}L + _t")).where(F.col("slot") < end)
-    return placed.select(*docs.columns, "block", "epoch", "slot", "place")
+    placed = placed.withColumn("_slot", F.expr(f"(_q div _a) * {cycle}L + _t")).where(F.col("_slot") < end)
+    return placed
 
 
 def _facts(names: list[str], blocks: dict[str, int], weights: dict[str, int]) -> str:

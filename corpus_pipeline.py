@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartwheel.llm.common import scratch
 from cartwheel.llm.decontaminate import clean_documents
 from cartwheel.llm.minhash_dedup import distinct_documents
-from cartwheel.llm.mixing import mix
+from cartwheel.llm.mixing import mixed_documents
 from cartwheel.llm.quality import good_documents
 from cartwheel.llm.sharding import shard_documents
 
@@ -36,8 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of the sources interleaved by their target weights, rows in schedule order. No row is dropped; sources that end
     early start again, so their documents repeat."""
-    out = mix(docs)
-    return out.repartitionByRange("slot").sortWithinPartitions("slot", "place").select(*docs.columns)
+    return mixed_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
