@@ -6,7 +6,7 @@ sources    -- loading interactions, CSV tables, list datasets, chunked CSV expor
 functions  -- column-level building blocks (ranking, hashing, weighting, metrics, prefix sums)
 operators  -- recommenders, candidate generators, filters, features, rankers
 plans      -- evaluation reports, model selection, the recommender facade, the query registry
-streaming  -- intentionally empty (nothing in scope needs a stream)
+llm        -- operators for preparing training text (nothing else imports it)
 """
 
 __version__ = "0.1.0"

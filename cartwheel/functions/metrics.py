@@ -52,12 +52,13 @@ def _safe_div(num: Column, den: Column) -> Column:
 
 def metrics_per_user(recs: DataFrame, truth: DataFrame, ks: Sequence[int],
                      prices: DataFrame | None = None, users: DataFrame | None = None,
-                     nan_policy: str = "zero") -> DataFrame:
+                     nan_policy: str = "zero", rec_prices: DataFrame | None = None) -> DataFrame:
     """Per-user metrics for every k in ``ks``.
 
     recs   -- ``user_id, item_id, rank`` (rank 1..m, unique per user)
     truth  -- ``user_id, item_id`` distinct bought pairs
-    prices -- optional ``item_id, price`` (Money Recall; without it Money Recall is 0)
+    prices -- optional ``item_id, price`` of bought items (without it Money Recall is NULL: not computed)
+    rec_prices -- optional ``item_id, price`` of recommended items (default: ``prices``)
     users  -- optional ``user_id`` set to score (default: users present in truth)
 
     Returns ``user_id, k, n_hits, n_true`` and one column per metric.
@@ -67,7 +68,9 @@ def metrics_per_user(recs: DataFrame, truth: DataFrame, ks: Sequence[int],
     r = recs.filter(F.col("rank") <= ks[-1]).select("user_id", "item_id", "rank")
     # a hit is a bought item, so its price comes with the purchase row: one join gives both
     hits = r.join(truth_priced, ["user_id", "item_id"])
-    return _from_hits(hits, truth_priced, ks, users, nan_policy)
+    if rec_prices is not None:
+        hits = hits.drop("price").join(rec_prices.select("item_id", "price"), "item_id", "left")
+    return _from_hits(hits, truth_priced, ks, users, nan_policy, prices is not None)
 
 
 def metrics_for_global_list(items: DataFrame, truth: DataFrame, ks: Sequence[int],
@@ -82,7 +85,7 @@ def metrics_for_global_list(items: DataFrame, truth: DataFrame, ks: Sequence[int
     hits = truth_priced.join(F.broadcast(lst), "item_id")
     if users is not None:
         hits = hits.join(users.select("user_id").distinct(), "user_id", "left_semi")
-    return _from_hits(hits, truth_priced, ks, users, nan_policy)
+    return _from_hits(hits, truth_priced, ks, users, nan_policy, prices is not None)
 
 
 def _check_ks(ks: Sequence[int]) -> list[int]:
@@ -101,7 +104,7 @@ def _priced_truth(truth: DataFrame, prices: DataFrame | None) -> DataFrame:
 
 
 def _from_hits(hits: DataFrame, truth_priced: DataFrame, ks: list[int], users: DataFrame | None,
-               nan_policy: str) -> DataFrame:
+               nan_policy: str, priced: bool) -> DataFrame:
     k_array = F.array(*[F.lit(k) for k in ks])
     hits = hits.withColumn("price", _clean_price(F.col("price"), nan_policy))
     # at most max_k hit rows per user: the window never sees an unbounded group
@@ -139,8 +142,9 @@ def _from_hits(hits: DataFrame, truth_priced: DataFrame, ks: list[int], users: D
         _safe_div(F.coalesce("ap_sum", F.lit(0.0)), F.least(k, n_true).cast("double")).alias("ap"),
         F.when((n_true > 0) & F.col("first_hit").isNotNull(), F.lit(1.0) / F.col("first_hit"))
         .otherwise(F.lit(0.0)).alias("rr"),
-        F.when(F.isnan(money_true) | F.isnan(money_hit), F.lit(float("nan")))
-        .when(money_true != 0, money_hit / money_true).otherwise(F.lit(0.0)).alias("money_recall"),
+        (F.when(F.isnan(money_true) | F.isnan(money_hit), F.lit(float("nan")))
+         .when(money_true != 0, money_hit / money_true).otherwise(F.lit(0.0)) if priced
+         else F.lit(None).cast("double")).alias("money_recall"),
     )
 
 
@@ -168,20 +172,23 @@ def with_metrics(lists: DataFrame, ks: Sequence[int], nan_policy: str = "zero",
     """Append ``<metric>_at_<k>`` columns to a one-row-per-user list dataset.
 
     Arrays are handled by Spark's higher-order functions inside generated code; a NULL list is
-    treated as empty.
+    treated as empty. An item that a list repeats counts once, at its first place, and so does its price;
+    NULL items count for nothing; a price missing beyond the end of a price list is a NULL price.
     """
     out = lists
     rec = F.coalesce(F.col(rec_col), F.array())
     bought = F.coalesce(F.col(bought_col), F.array())
-    n_true = F.size(F.array_distinct(bought))
+    n_true = F.size(F.array_distinct(F.filter(bought, lambda x: x.isNotNull())))
     has_prices = rec_price_col in lists.columns and bought_price_col in lists.columns
     if has_prices:
         bought_prices = F.coalesce(F.col(bought_price_col), F.array())
-        money_true = F.aggregate(bought_prices, F.lit(0.0),
-                                 lambda acc, p: acc + _clean_price(p, nan_policy))
+        paid = F.transform(bought, lambda x, i: F.when(F.array_position(bought, x) == i + 1, _clean_price(F.get(bought_prices, i), nan_policy))
+                           .otherwise(0.0))
+        money_true = F.aggregate(paid, F.lit(0.0), lambda acc, p: acc + p)
     for k in sorted({int(k) for k in ks}):
         top = F.slice(rec, 1, k)
-        flags = F.transform(top, lambda x: F.array_contains(bought, x))
+        # a hit is a bought item at its first place in the list
+        flags = F.transform(top, lambda x, i: F.coalesce(F.array_contains(bought, x) & (F.array_position(top, x) == i + 1), F.lit(False)))
         n_hits = F.aggregate(flags, F.lit(0), lambda acc, f: acc + F.when(f, 1).otherwise(0))
         dcg = F.aggregate(
             F.transform(flags, lambda f, i: F.when(f, F.lit(1.0) / F.log2(i + F.lit(2))).otherwise(0.0)),
@@ -203,7 +210,7 @@ def with_metrics(lists: DataFrame, ks: Sequence[int], nan_policy: str = "zero",
         if has_prices:
             rp = F.coalesce(F.col(rec_price_col), F.array())
             money_hit = F.aggregate(
-                F.transform(flags, lambda f, i: F.when(f, _clean_price(F.element_at(rp, i + 1), nan_policy))
+                F.transform(flags, lambda f, i: F.when(f, _clean_price(F.get(rp, i), nan_policy))
                             .otherwise(0.0)),
                 F.lit(0.0), lambda acc, v: acc + v)
             out = out.withColumn(

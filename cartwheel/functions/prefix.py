@@ -4,42 +4,26 @@ A global ``row_number()`` or running sum without ``PARTITION BY`` moves every ro
 Instead:
 
 1. range-partition on the (total) order and sort inside each partition;
-2. running sums inside each partition (vectorised, one pass over Arrow batches), plus the
-   partition id; the result is checkpointed to the shared checkpoint folder so every later read
-   sees the same partition layout even if tasks are re-run;
+2. number the rows with ``monotonically_increasing_id`` (partition in the upper bits, position in the
+   lower 33) and fix the result in the shared checkpoint folder, so every later read sees the same
+   layout even if tasks are re-run; running sums are windows inside a partition;
 3. one small job collects the per-partition totals (one row per partition, bounded by the
    partition count, never by the data), turns them into offsets and broadcasts them back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 _PID = "_cw_pid"
+_POS = "_cw_pos"
 _LOCAL = "_cw_local"
-
-
-def _local_cumsum(value_col: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        running = 0
-        for pdf in batches:
-            if value_col is None:
-                vals = pd.Series(1, index=pdf.index, dtype="int64")
-            else:
-                vals = pdf[value_col].astype("int64")
-            csum = vals.cumsum() + running
-            if len(csum):
-                running = int(csum.iloc[-1])
-            pdf[_LOCAL] = csum.astype("int64")
-            yield pdf
-    return run
+_POSITION_BITS = 33  # fixed by monotonically_increasing_id
 
 
 def global_cumsum(df: DataFrame, order_by: Sequence[str], out: str = "cum",
@@ -50,18 +34,24 @@ def global_cumsum(df: DataFrame, order_by: Sequence[str], out: str = "cum",
     ensure_checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
-               .withColumn(_PID, F.spark_partition_id()))
-    schema = T.StructType(ordered.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-    local = ordered.mapInPandas(_local_cumsum(value_col), schema).checkpoint(eager=True)
-    totals = local.groupBy(_PID).agg(F.max(_LOCAL).alias("_cw_total")).collect()
+               .withColumn("_cw_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    local = (ordered.withColumn(_PID, F.shiftright("_cw_id", _POSITION_BITS))
+             .withColumn(_POS, F.col("_cw_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))).drop("_cw_id"))
+    if value_col is None:
+        local = local.withColumn(_LOCAL, F.col(_POS) + 1)
+        totals = local.groupBy(_PID).agg(F.max(_LOCAL).alias("_cw_total"))
+    else:
+        w = Window.partitionBy(_PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        totals = local.groupBy(_PID).agg(F.sum(F.col(value_col).cast("bigint")).alias("_cw_total"))
+        local = local.withColumn(_LOCAL, F.sum(F.col(value_col).cast("bigint")).over(w))
     offsets, acc = [], 0
-    for row in sorted(totals, key=lambda r: r[_PID]):
+    for row in sorted(totals.collect(), key=lambda r: r[_PID]):
         offsets.append((int(row[_PID]), acc))
-        acc += int(row["_cw_total"])
-    off_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} int, _cw_offset long")
+        acc += int(row["_cw_total"] or 0)
+    off_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, _cw_offset long")
     return (local.join(F.broadcast(off_df), _PID, "left")
             .withColumn(out, (F.col(_LOCAL) + F.coalesce("_cw_offset", F.lit(0))).cast("bigint"))
-            .drop(_PID, _LOCAL, "_cw_offset"))
+            .drop(_PID, _POS, _LOCAL, "_cw_offset"))
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[str], out: str = "row_no",

@@ -63,8 +63,11 @@ def bm25(mat: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
 
 
 def weigh(mat: DataFrame, weighting: str = "none", **kw) -> DataFrame:
-    if weighting in ("none", "binary", None):
+    """``none`` keeps the weights, ``binary`` makes them 1, ``tfidf`` and ``bm25`` re-weight."""
+    if weighting in ("none", None):
         return mat
+    if weighting == "binary":
+        return mat.withColumn("weight", F.lit(1.0))
     if weighting == "tfidf":
         return tfidf(mat)
     if weighting == "bm25":

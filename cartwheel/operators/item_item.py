@@ -8,9 +8,9 @@ Co-occurrence at scale
 ----------------------
 The dot products come from a self-join of the matrix on the user. A user with m items contributes
 m(m-1)/2 products, so a single hot user could otherwise swamp one task. Each user's items are
-split into ``ceil(m / block)`` hash blocks; the join key is (user, block_a, block_b) with
-block_a <= block_b, so one join key never holds more than about ``block`` x ``block`` products and
-the work of a hot user spreads over many tasks. Products are summed per item pair with map-side
+split into ``ceil(m / block)`` hash blocks; both copies are expanded to the block pairs they take part
+in, and the join key is (user, block_a, block_b) with block_a <= block_b, so one join key never holds
+more than about ``block`` x ``block`` products and the work of a hot user spreads over many tasks. Products are summed per item pair with map-side
 partial aggregation before the shuffle on the pair. Nothing is capped or sampled: every
 co-occurrence counts.
 """
@@ -52,14 +52,13 @@ def cooccurrence(mat: DataFrame, key: str = "user_id", other: str = "item_id",
                  weight: str = "weight", block: int = DEFAULT_BLOCK) -> DataFrame:
     """``a, b, dot`` with a < b: sum over shared ``key`` of weight_a * weight_b."""
     m = _blocked(mat.select(key, other, weight), key, other, block)
-    # left copy: item in block x pairs with every block y >= x; right copy: item in block y
-    left = m.select(key, F.col(other).alias("a"), F.col(weight).alias("wa"),
-                    F.col("_blk").alias("bx"),
+    # left copy: an item of block x meets every block y >= x; right copy: an item of block y meets every x <= y
+    left = m.select(key, F.col(other).alias("a"), F.col(weight).alias("wa"), F.col("_blk").alias("bx"),
                     F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("by"))
-    right = m.select(key, F.col(other).alias("b"), F.col(weight).alias("wb"),
-                     F.col("_blk").alias("by"))
+    right = m.select(key, F.col(other).alias("b"), F.col(weight).alias("wb"), F.col("_blk").alias("by"),
+                     F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("bx"))
     # same block: keep a < b once; different blocks: each unordered pair meets exactly once
-    pairs = (left.join(right, [key, "by"])
+    pairs = (left.join(right, [key, "bx", "by"])
              .filter((F.col("bx") < F.col("by")) | (F.col("a") < F.col("b")))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                      (F.col("wa") * F.col("wb")).alias("p")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prefix import global_row_number
 from ..functions.ranking import global_top
 
 POPULARITY_MEASURES = ("count", "quantity", "sales", "users")
@@ -30,14 +29,6 @@ def _measure(by: str) -> str:
     return {"count": "n_purchases", "quantity": "quantity", "sales": "sales", "users": "n_users"}[by]
 
 
-def popularity_ranking(inter: DataFrame, by: str = "count") -> DataFrame:
-    """Every item ranked by popularity: ``item_id, score, rank`` (rank 1 = most popular)."""
-    pop = item_popularity(inter).select("item_id", F.col(_measure(by)).cast("double").alias("score"))
-    # a global ordering without a single-task window: range partitions + broadcast offsets
-    pop = pop.withColumn("_neg", -F.round("score", 9))
-    return global_row_number(pop, ["_neg", "item_id"], out="rank").drop("_neg")
-
-
 def popular(inter: DataFrame, n: int, by: str = "count") -> DataFrame:
     """Top-n popular items: ``item_id, score, rank`` (ties to the smaller id)."""
     pop = item_popularity(inter).select("item_id", F.col(_measure(by)).cast("double").alias("score"))
@@ -63,8 +54,3 @@ def recs_from_list(users: DataFrame, items: list[tuple[int, float]]) -> DataFram
                              F.lit(r + 1).cast("bigint").alias("rank"),
                              F.lit(float(s)).alias("score")) for r, (i, s) in enumerate(items)])
     return users.select("user_id", F.inline(lit))
-
-
-def popular_recs(inter: DataFrame, users: DataFrame, n: int, by: str = "count") -> DataFrame:
-    """Popularity baseline: the top-n items for each user."""
-    return recs_from_list(users, popular_list(inter, n, by))

@@ -17,12 +17,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_money
 from ..functions.prefix import global_row_number
 
 
+MAX_BROADCAST_ITEMS = 1_000_000  # a top_n up to this many (id, flag) rows is sent to all tasks
+
+
 def item_stats(inter: DataFrame) -> DataFrame:
     per_pair = inter.groupBy("item_id", "user_id").agg(
-        F.sum("quantity").alias("q"), F.sum(F.col("sales_value").cast("decimal(18,2)")).alias("s"),
+        F.sum("quantity").alias("q"), F.sum(exact_money("sales_value")).alias("s"),
         F.max("week_no").alias("lw"))
     # money is summed exactly (DECIMAL) so ratios do not depend on summation order
     return per_pair.groupBy("item_id").agg(
@@ -60,6 +64,8 @@ def kept_items(inter: DataFrame, top_n: int | None = None, lo_share: float | Non
 def prefilter_items(inter: DataFrame, mode: str = "drop", fake_item_id: int = 999999, **rules) -> DataFrame:
     """Apply ``kept_items`` to the interactions (``mode`` = 'drop' or 'collapse')."""
     keep = kept_items(inter, **rules).select("item_id", F.lit(True).alias("_keep"))
+    if (rules.get("top_n") or MAX_BROADCAST_ITEMS + 1) <= MAX_BROADCAST_ITEMS:
+        keep = F.broadcast(keep)  # at most top_n rows: the interactions are not shuffled on a hot item
     if mode == "drop":
         return inter.join(keep, "item_id", "left_semi")
     if mode == "collapse":

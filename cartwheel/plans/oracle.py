@@ -412,3 +412,41 @@ FROM fm5"""),
 SELECT round(avg(precision), 6) AS precision_at_5, round(avg(ap), 6) AS map_at_5, CAST(0.22 AS DOUBLE) AS threshold,
   avg(precision) > 0.22 AS passes, CAST(count(*) AS BIGINT) AS n_users FROM wm"""),
 })
+
+SQL.update({
+    "als_recs_check": q("", f"""
+SELECT user_id, CAST({N_RECS} AS BIGINT) AS n_items, CAST({N_RECS} AS BIGINT) AS last_rank, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unknown
+FROM val_users WHERE user_id IN (SELECT user_id FROM train)"""),
+    "hybrid_fm_recs_check": q("", f"""
+SELECT user_id, CAST({N_RECS} AS BIGINT) AS n_items, CAST({N_RECS} AS BIGINT) AS last_rank, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unknown
+FROM val_users WHERE user_id IN (SELECT user_id FROM train)"""),
+    "two_level_recs_check": q(II_STD, f"""
+SELECT user_id, least(count(*), {N_RECS}) AS n_items, least(count(*), {N_RECS}) AS last_rank, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_unknown
+FROM cands GROUP BY user_id"""),
+    "negative_pairs_check": q("", """
+SELECT user_id, least(count(*), (SELECT count(*) FROM part) - count(*)) AS n_negatives, CAST(0 AS BIGINT) AS n_bought FROM mat GROUP BY user_id"""),
+    "split_by_week": q("", f"""
+SELECT CASE WHEN week_no < {VALID_START} THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+  count(DISTINCT item_id) AS n_items FROM inter GROUP BY 1"""),
+    "holdout_split": q(f"""
+parts AS (SELECT 'level1_train' AS split, * FROM train UNION ALL SELECT 'level2_train', * FROM lvl2
+  UNION ALL SELECT 'holdout', * FROM inter WHERE week_no BETWEEN {WEEK_LO} AND {WEEK_HI})""",
+                       "SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM parts GROUP BY 1"),
+    "list_round_trip": q(neighbours_cte() + "," + ii_recs_cte(10, "recs"), "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM recs"),
+    "csv_round_trip": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "facade_recs": q("\nall_users AS (SELECT DISTINCT user_id FROM train)," + neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs", users="all_users") + ","
+                     + pop_cte("pop", N_RECS, users="all_users") + "," + fill_cte("fin", "recs", "pop", "all_users", N_RECS),
+                     "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM fin"),
+    "restricted_recs": q(neighbours_cte() + "," + pop_cte("pop", 100) + """,
+near AS (SELECT * FROM nbrs WHERE neighbour_id IN (SELECT item_id FROM pop)),""" + ii_recs_cte(N_RECS, "recs", nbrs="near"),
+                         "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM recs"),
+    "training_frame": q("""
+lvl2_users AS (SELECT DISTINCT user_id FROM lvl2),""" + neighbours_cte() + "," + ii_recs_cte(N_CANDIDATES, "c", users="lvl2_users") + """,
+bought AS (SELECT user_id, item_id, count(*) AS n FROM train GROUP BY 1, 2),
+later AS (SELECT DISTINCT user_id, item_id FROM lvl2),
+per_user AS (SELECT user_id, count(DISTINCT basket_id) AS n_baskets, count(DISTINCT item_id) AS n_items FROM train GROUP BY 1)""", """
+SELECT c.user_id, c.item_id, CAST(l.user_id IS NOT NULL AS INTEGER) AS label, coalesce(b.n, 0) AS times_bought, CAST(c.rank AS BIGINT) AS l1_rank,
+  round(c.score, 6) AS l1_score, coalesce(u.n_baskets, 0) AS n_baskets, coalesce(u.n_items, 0) AS n_items
+FROM c LEFT JOIN bought b ON b.user_id = c.user_id AND b.item_id = c.item_id LEFT JOIN later l ON l.user_id = c.user_id AND l.item_id = c.item_id
+  LEFT JOIN per_user u ON u.user_id = c.user_id"""),
+})

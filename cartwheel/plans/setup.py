@@ -47,7 +47,8 @@ class Frame:
         l1, _, _ = split_two_level(block(None, LEVEL2_START - 1), LEVEL2_START, VALID_START)
         _, l2, _ = split_two_level(block(LEVEL2_START, VALID_START - 1), LEVEL2_START, VALID_START)
         _, _, val = split_two_level(block(VALID_START, None), LEVEL2_START, VALID_START)
-        return l1, l2, val
+        # each block is read by many parts of a report: the line items are joined once
+        return tuple(x.persist(StorageLevel.MEMORY_AND_DISK) for x in (l1, l2, val))
 
     @property
     def train(self) -> DataFrame:
@@ -63,11 +64,11 @@ class Frame:
 
     @cached_property
     def val_users(self) -> DataFrame:
-        return self.valid.select("user_id").distinct()
+        return self.valid.select("user_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def truth(self) -> DataFrame:
-        return truth_table(self.valid)
+        return truth_table(self.valid).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -90,7 +91,7 @@ class Frame:
     @cached_property
     def candidates(self) -> DataFrame:
         """Level-1 list: item-item top ``N_CANDIDATES`` for validation users."""
-        return self.item_item(N_CANDIDATES)
+        return self.item_item(N_CANDIDATES).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def r6(c: str):

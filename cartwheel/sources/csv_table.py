@@ -8,10 +8,11 @@ differs from the header fail the read (``on_ragged='fail'``) or are kept with th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 READ_OPTIONS = {
-    "header": "true", "inferSchema": "false", "multiLine": "true", "quote": '"', "escape": '"',
+    "header": "true", "inferSchema": "false", "multiLine": "true", "recursiveFileLookup": "true", "quote": '"', "escape": '"',
     "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
@@ -38,17 +39,34 @@ def safe_names(names: list[str]) -> list[str]:
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names from the first line (read by Spark, one small job)."""
+    return safe_names(_first_line(spark, path))
+
+
+def _first_line(spark: SparkSession, path: str) -> list[str]:
     first = spark.read.options(**{**READ_OPTIONS, "header": "false"}).csv(path).limit(1).collect()
     if not first:
         raise ValueError(f"{path}: file has no header line")
-    return safe_names([str(v) if v is not None else "" for v in first[0]])
+    return [str(v) if v is not None else "" for v in first[0]]
+
+
+def _check_equal_headers(spark: SparkSession, path: str) -> None:
+    """Raise if the first lines of the files differ (needed where Spark can't compare names itself)."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"), "value")
+    if rows.groupBy("f").agg(F.min_by("value", "i").alias("h")).select("h").distinct().limit(2).count() > 1:
+        raise ValueError(f"{path}: the files have different headers")
 
 
 def read_csv_table(spark: SparkSession, path: str, on_ragged: str = "fail",
                    columns: list[str] | None = None) -> DataFrame:
-    names = columns or header_of(spark, path)
+    """All columns as text. Every file must have the same header in the same order; a difference fails the read."""
+    raw = _first_line(spark, path)
+    names = columns or safe_names(raw)
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     opts = dict(READ_OPTIONS)
+    if names == raw:
+        opts["enforceSchema"] = "false"  # Spark compares each file's header with the names
+    else:
+        _check_equal_headers(spark, path)
     if on_ragged == "fail":
         opts["mode"] = "FAILFAST"
     elif on_ragged == "keep":

@@ -111,9 +111,17 @@ def interactions_from_csv(spark: SparkSession, path: str, columns: dict[str, str
     raw = read_csv_table(spark, path)
     mapping = columns or {c: c for c in INTERACTION_COLUMNS}
 
+    if missing := [c for c in ("user_id", "item_id", "week_no") if c not in mapping]:
+        raise ValueError(f"no column is given for {missing}")
+
     def conv(src: str, typ: str):
         c = F.col(f"`{src}`")
-        return c.try_cast(typ) if on_bad == "drop" else c.cast(typ)
+        value = c.try_cast(typ)
+        if on_bad == "drop":
+            return value
+        # an explicit check: a plain cast fails in ANSI mode only
+        bad = F.raise_error(F.concat(F.lit(f"{src}: not a {typ}: "), c)).cast(typ)
+        return F.when(c.isNotNull() & value.isNull(), bad).otherwise(value)
 
     out = raw.select(*[conv(src, INTERACTION_TYPES[dst]).alias(dst) for dst, src in mapping.items()])
     for c in INTERACTION_COLUMNS:
