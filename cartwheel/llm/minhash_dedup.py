@@ -159,12 +159,14 @@ class Linker:
 
     ``fits(n, m)`` is a bound from the sizes; ``similar(pairs)`` keeps the pairs (a, b) that are truly linked. Optional:
     ``sketch(classes)`` gives (ck, s, x) for the classes left open by the first pivots, and ``promising(rows)`` from them the pairs
-    (a, b) of different labels that can be linked at all; ``hopeful`` tells which classes can be linked with any other."""
+    (a, b) of different labels that can be linked at all; ``hopeful`` tells which classes can be linked with any other.
+    ``coarse`` (key, ck, n) are keys of which two classes share one whenever they share one of ``members``, but fewer: the
+    sketches are compared in these, so that a pair meets a few times, not in each of its many common keys."""
 
     def __init__(self, members: DataFrame, fits: Callable, similar: Callable[[DataFrame], DataFrame], sketch: Callable[[DataFrame], DataFrame] | None = None,
-                 promising: Callable[[DataFrame], DataFrame] | None = None, hopeful: str = "true"):
+                 promising: Callable[[DataFrame], DataFrame] | None = None, hopeful: str = "true", coarse: DataFrame | None = None):
         self.members, self.fits, self.similar = members, fits, similar
-        self.sketch, self.promising, self.hopeful = sketch, promising, hopeful
+        self.sketch, self.promising, self.hopeful, self.coarse = sketch, promising, hopeful, coarse
         self.sketched = False
         self.edges: list[DataFrame] = []
         self.labels: DataFrame | None = None
@@ -212,7 +214,7 @@ class Linker:
             self.members = scratch(rest, "members")
             if self.sketch is not None:
                 own = scratch(self.sketch(self.open_rows().select("ck").distinct()), "sketches")
-                self.members = scratch(self.members.join(own, "ck").where(self.hopeful), "members")
+                self.members = scratch(self.coarse.join(own, "ck").where(self.hopeful), "members")
                 self.sketched = True
 
     def pivots(self, rows: DataFrame) -> DataFrame:
@@ -305,9 +307,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     classes = scratch(grouped.groupBy(F.col("set_key").alias("ck")).agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("size")), "classes")
     half = classes.select("ck", "n", F.posexplode("halves").alias("slot", "half"))
     shared = half.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    sides = half.join(shared, "half", "left_semi").groupBy("ck", "n").agg(
-        F.collect_list(F.when(F.col("slot") < groups, F.col("half"))).alias("u"), F.collect_list(F.when(F.col("slot") >= groups, F.col("half"))).alias("v"))
-    keyed = scratch(sides.select("ck", "n", F.explode("u").alias("u"), "v").select("ck", "n", "u", F.explode("v").alias("v")).select(F.xxhash64("u", "v").alias("key"), "ck", "n"), "keys")
+    sides = scratch(half.join(shared, "half", "left_semi").groupBy("ck", "n").agg(
+        F.collect_list(F.when(F.col("slot") < groups, F.col("half"))).alias("u"), F.collect_list(F.when(F.col("slot") >= groups, F.col("half"))).alias("v")), "halves")
+    coarse = sides.select("ck", "n", F.explode("u").alias("key"), "v")
+    keyed = coarse.select("ck", "n", F.col("key").alias("u"), F.explode("v").alias("v")).select(F.xxhash64("u", "v").alias("key"), "ck", "n")
     pairable = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     members = scratch(keyed.join(pairable, "key", "left_semi"), "members")
     wanted = members.select("ck").distinct().join(classes.select("ck", "rep"), "ck")
@@ -316,7 +319,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     sets = mine.join(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     sets = scratch(sets.dropDuplicates(["set_key"]).select(F.col("set_key").alias("ck"), "shingles"), "sets")
     linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent), lambda classes: _bins(classes, sets),
-                    lambda rows: _blocks(rows).groupBy("g", "p", "q").applyInPandas(_promising(percent), "a binary, b binary").distinct(), f"100 * s >= {percent} * n")
+                    lambda rows: _blocks(rows).groupBy("g", "p", "q").applyInPandas(_promising(percent), "a binary, b binary").distinct(), f"100 * s >= {percent} * n", coarse.select("key", "ck", "n"))
     linker.run()
     labelled = linker.labelled(classes.select("ck", "rep", "size"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
