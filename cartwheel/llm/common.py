@@ -47,7 +47,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     return rows.join(heavy, key).unionByName(rest.join(groups.where(~hot), key))
 
 
-def numbered(rows: DataFrame, group: str, key: list[str], out: str, n_rows: int, per_bucket: int = 4096) -> DataFrame:
+def numbered(rows: DataFrame, group: str, key: list[str], out: str, n_rows: int, per_bucket: int = 1024) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... without gaps inside each ``group``, whatever the group's size.
 
     Rows are dealt to hash buckets of about ``per_bucket`` rows by ``key``; a window numbers each bucket,
