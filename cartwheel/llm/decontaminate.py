@@ -23,44 +23,67 @@ UNITS = ("km", "cm", "mm", "nm", "m", "mi", "miles", "ft", "feet", "in", "inch",
          "min", "minutes", "h", "hr", "hours", "days", "weeks", "months", "years", "usd", "eur", "dollars", "euros", "cents", "percent", "degrees", "kwh", "kw", "w", "v", "hz")
 NAME, NUMBER, UNIT = "\x02", "\x03", "\x04"
 _UNIT = "|".join(sorted(UNITS, key=len, reverse=True))
-#: (pattern, replacement) in order; groups are written $1. No look-around, so that every engine has the same result.
-STEPS = (
-    (r"[\x01-\x08]", " "),
+_LETTER = r"[\p{L}\p{N},;)'\x22-][ ]"  # what stands before a name; a capital letter at the beginning of a sentence is none
+#: (pattern, replacement) in order; groups are written $1. The steps of NUMBERS change nothing in a text without digits.
+CONTROLS = (r"[\x01-\x08]", " ")
+NUMBERS = (
     (r"(\d)(" + _UNIT + r")([^\p{L}\p{N}]|$)", "$1 $2$3"),
     (r"(^|[^\p{L}\p{N}.,])([+-]?\d+([.,:/]\d+)*)", "$1 " + NUMBER + "$2"),
     (r"(\d[%.]?[ ])(" + _UNIT + r")([^\p{L}\p{N}]|$)", "$1" + UNIT + "$2$3"),
-    (r"([\p{L}\p{N},;)'\x22-][ ])(\p{Lu}\p{Ll}+)", "$1" + NAME + "$2"),
-    (r"([\p{L}\p{N},;)'\x22-][ ])(\p{Lu}\p{Ll}+)", "$1" + NAME + "$2"),  # the second of two names in a row
-    (r"[^\p{L}\p{N}\x20\x09-\x0D\x02-\x04]+", ""),
 )
+NAMES = (r"\p{Lu}(?<=" + _LETTER + r"\p{Lu})\p{Ll}+", NAME + "$0")
+#: The same without looking behind: a second pass finds the second of two names in a row.
+NAMES_TWICE = ((r"(" + _LETTER + r")(\p{Lu}\p{Ll}+)", "$1" + NAME + "$2"),) * 2
+PUNCTUATION = (r"[^a-zA-Z0-9\x20\x09-\x0D\x02-\x04\p{L}\p{N}]+", "")
 TEMPLATE = (r"([\x02-\x04])[^\x20\x09-\x0D]+", "$1")
 SPLIT = r"[\x20\x09-\x0D]+"
 
 
 def canonical(text: Column) -> Column:
     """Lower-cased tokens joined by one space; numbers, names and units carry a mark of their type in front."""
-    out = F.coalesce(text, F.lit(""))
-    for pattern, to in STEPS:
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), *CONTROLS)
+    out = plain
+    for pattern, to in NUMBERS:
         out = F.regexp_replace(out, pattern, to)
+    out = F.when(plain.rlike("[0-9]"), out).otherwise(plain)
+    out = F.regexp_replace(F.regexp_replace(out, *NAMES), *PUNCTUATION)
     return F.trim(F.regexp_replace(F.lower(out), SPLIT, " "))
 
 
-def windows(table: DataFrame, key: str, widths: list[int], whole_below: bool = False) -> DataFrame:
-    """key, width, literals, template, pattern of all windows of each width in each text.
+BEGIN = 3  # tokens whose hash tells quickly that no benchmark window begins at a place
+#: Distinct beginnings and longest tokens of benchmark windows that texts are searched for first; with more of
+#: them every window goes to the join. The result is the same.
+MAX_BEGINNINGS, MAX_ANCHORS = 100_000, 10_000
 
-    template: hash of the typed tokens; pattern: hash of where each slot value occurs first in the window (0: no slot).
-    ``whole_below``: a text of fewer tokens gives one window, itself."""
-    tokens = table.select(F.col(key).alias("id"), canonical(F.col("text")).alias("c")).where("c <> ''")
+
+def windows(table: DataFrame, key: str, widths: list[int], whole_below: bool = False, beginnings: list[int] | None = None, anchors: list[int] | None = None) -> DataFrame:
+    """id, width, begin, anchor, literals, template, pattern of all windows of each width in each text.
+
+    template: hash of the typed tokens, begin: of the first of them, anchor: of the longest; pattern: hash of where each slot
+    value occurs first in the window (0: no slot). ``whole_below``: a text of fewer tokens gives one window, itself.
+    ``beginnings``: only windows that begin so; ``anchors``: only texts with one of these tokens (the anchor is then left out)."""
+    # no filter stands on computed columns here: the optimiser would move it down and compute them once more for it
+    tokens = table.select(F.col(key).alias("id"), canonical(F.col("text")).alias("c"))
+    marked = F.col("c").rlike("[\\x02-\\x04]")
+    shape = F.transform(F.split(F.when(marked, F.regexp_replace("c", *TEMPLATE)).otherwise(F.col("c")), " "), lambda w: F.xxhash64(w))
     value = F.expr("transform(split(c, ' '), w -> if(ascii(w) < 5, shiftrightunsigned(xxhash64(w), 1) | 1, 0L))")
-    shape = F.transform(F.split(F.regexp_replace("c", *TEMPLATE), " "), lambda w: F.xxhash64(w))
-    tokens = tokens.select("id", value.alias("v"), shape.alias("t"))
-    cut = """transform(transform(sequence(1, size(t) - width + 1), i -> struct(slice(t, i, width) AS t, slice(v, i, width) AS v)),
-        s -> struct(xxhash64(s.t) AS template, if(array_max(s.v) = 0, 0L, xxhash64(transform(s.v, x -> if(x = 0, 0L, array_position(s.v, x))))) AS pattern{more}))"""
-    more = ", size(filter(s.v, x -> x = 0)) AS literals" if whole_below else ""
+    length = F.array().cast("array<int>") if anchors is not None else F.transform(F.split("c", " "), F.length)
+    tokens = tokens.select("id", shape.alias("t"), F.when(marked, value).alias("v"), length.alias("l"))
+    begin = "xxhash64(" + ", ".join(f"get(t, i{k - 1:+d})" for k in range(BEGIN)) + ")"
+    cut = f"transform(at, i -> struct({begin} AS begin, slice(t, i, width) AS t, slice(v, i, width) AS v, slice(l, i, width) AS l))"
     out = None
     for width in widths:
-        size = F.least(F.size("t"), F.lit(width)) if whole_below else F.lit(width)
-        w = tokens.withColumn("width", size).where("size(t) >= width").select("id", "width", F.explode(F.expr(cut.format(more=more))).alias("w")).select("id", "width", "w.*")
+        w = tokens.withColumn("width", F.least(F.size("t"), F.lit(width)) if whole_below else F.lit(width))
+        places = F.expr("if(size(t) >= width, sequence(1, size(t) - width + 1), cast(array() as array<int>))")
+        if beginnings is not None:
+            places = F.filter(places, lambda i: F.xxhash64(*(F.get("t", i + (k - 1)) for k in range(BEGIN))).isin(beginnings))
+        if anchors is not None:
+            places = F.when(F.arrays_overlap("t", F.array(*(F.lit(x) for x in anchors))), places)
+        w = w.withColumn("at", places).select("id", "width", F.explode_outer(F.expr(cut)).alias("w")).where("w IS NOT NULL").select("id", "width", "w.*")
+        longest = F.array_max(F.arrays_zip("l", "t"))["t"].alias("anchor")
+        slots = "if(v IS NULL OR array_max(v) = 0, 0L, xxhash64(transform(v, x -> if(x = 0, 0L, array_position(v, x)))))"
+        literals = "if(v IS NULL, size(t), size(filter(v, x -> x = 0)))"
+        w = w.select("id", "width", "begin", longest, F.expr(literals).alias("literals"), F.xxhash64("t").alias("template"), F.expr(slots).alias("pattern"))
         out = w if out is None else out.unionByName(w)
     return out
 
@@ -74,13 +97,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, mi
     texts are clean; rows that repeat a doc_id share the findings of all of them, as rows without an id do.
     An empty benchmark leaves all documents clean. Other columns are ignored."""
     asked = windows(benchmark, "item_id", [width], True).where(F.col("literals") >= min_literals)
-    asked = scratch(asked.groupBy("width", "template", "pattern").agg(F.min("id").alias("item_id")), "asked")
+    asked = scratch(asked.groupBy("width", "begin", "template", "pattern").agg(F.min("id").alias("item_id"), F.first("anchor").alias("anchor")), "asked")
     n, widths = asked.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("width"))).first()  # at most ``width`` values
     ids = docs.select("doc_id")
     if not n:
         return ids.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_hits"), F.lit(-1).cast("long").alias("item_id"))
-    side = F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked
-    hits = windows(docs, "doc_id", list(widths)).join(side, ["width", "template", "pattern"])
+    first = [r["begin"] for r in asked.select("begin").distinct().limit(MAX_BEGINNINGS + 1).collect()]
+    words = [r["anchor"] for r in asked.select("anchor").distinct().limit(MAX_ANCHORS + 1).collect()]
+    side = (F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked).drop("begin", "anchor")
+    found = windows(docs, "doc_id", list(widths), beginnings=first if len(first) <= MAX_BEGINNINGS else None, anchors=words if len(words) <= MAX_ANCHORS else None)
+    hits = found.select("id", "width", "template", "pattern").join(side, ["width", "template", "pattern"])
     found = hits.groupBy("id").agg(F.count(F.lit(1)).alias("n_hits"), F.min("item_id").alias("item_id"))
     out = ids.join(found, ids["doc_id"].eqNullSafe(found["id"]), "left")
     return out.select("doc_id", F.col("n_hits").isNotNull().alias("contaminated"), F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"), F.coalesce("item_id", F.lit(-1)).cast("long").alias("item_id"))
@@ -95,7 +121,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
 def sql_canonical() -> str:
     """The same steps as SQL over a column ``text``, for engines that write groups as \\1."""
     out = "coalesce(text, '')"
-    for pattern, to in STEPS:
+    for pattern, to in (CONTROLS, *NUMBERS, *NAMES_TWICE, PUNCTUATION):
         out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(to.replace('$', chr(92)))}, 'g')"
     return f"trim(regexp_replace(lower({out}), {_quoted(SPLIT)}, ' ', 'g'))"
 
