@@ -5,8 +5,9 @@ places. So each distinct line is split into edits + 1 segments (the index) and p
 of the other line and each segment, the few substrings that the length difference and the number of errors left and
 right of the segment allow. Index and probe keys of a piece of text go, packed, to hash buckets; a bucket
 gives out only the keys that two different lines share. Candidates are verified by a banded
-bit-parallel edit distance. Links make classes of lines (pivots as in the near-duplicate operator,
-so a class or a common segment of m lines never makes m * m pairs); the first line of each class stays.
+bit-parallel edit distance. Links make classes of lines through pivots, as in the near-duplicate operator; lines left
+in keys of several classes are compared by counts of character pairs in blocks first, and only pairs whose counts
+differ by no more than the edits explain are verified. The first line of each class stays.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_groups, scratch, utf8
-from .minhash_dedup import Linker, pieces
+from .minhash_dedup import Linker, pairs_in_blocks, pieces
 from .textmath import U, mix, pack, pack_sorted, rest_of, slices, unpack, unpack_sorted
 
 MIN_CHARS = 20  # shorter lines are compared for equality only
@@ -179,6 +180,26 @@ def _verify(edits: int):
     return run
 
 
+BINS = 32
+
+
+def _count_pairs(batches):
+    """Packed counts, by hash bin, of the pairs of neighbouring characters of each line."""
+    schema = pa.schema([("ck", pa.int64()), ("s", pa.int64()), ("x", pa.binary())])
+    for batch in batches:
+        ids, lines = (c.to_pylist() for c in batch.columns)
+        out = []
+        for line in lines:
+            c = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            out.append(np.bincount((mix(c[:-1] * STEP + c[1:]) % U(BINS)).astype(np.int64), minlength=BINS).astype(">u4").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int64()), pa.array(out, pa.binary())], schema=schema)
+
+
+def _may_be_within(edits: int):
+    """Bounds of two lines: lengths differ by an edit each, counts of character pairs by four (two go, two come)."""
+    return (lambda n, s, m, t: np.abs(n - m) <= edits), (lambda n, x, m, y: np.abs(x - y).sum(1) <= 4 * edits)
+
+
 def numbered_lines(docs: DataFrame) -> DataFrame:
     """doc_id, line_no (from 0) and line of every line; an empty text has none."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text <> ''")
@@ -208,7 +229,10 @@ def line_dedup(docs: DataFrame, edits: int = 2, bytes_per_bucket: int = 12 << 20
         left, right = (texts.select(F.col("ck").alias(c), F.col("line").alias(f"line_{c}")) for c in "ab")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "line_a", "line_b").mapInArrow(_verify(edits), "a long, b long")
 
-    linker = Linker(members, lambda n, m: F.abs(n - m) <= edits, similar)
+    def sketch(classes: DataFrame) -> DataFrame:
+        return texts.join(classes, "ck", "left_semi").mapInArrow(_count_pairs, "ck long, s long, x binary")
+
+    linker = Linker(members, lambda n, m: F.abs(n - m) <= edits, similar, sketch, lambda found: pairs_in_blocks(found, *_may_be_within(edits), BINS), "true", members)
     linker.run()
     where = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("line_no").alias("l"))
     distinct = lines.groupBy(F.col("lid").alias("ck")).agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("size"))

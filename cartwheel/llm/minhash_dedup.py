@@ -257,31 +257,46 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return single.unionByName(split)
 
 
-def _promising(percent: int):
-    """Pairs of a group that can be similar: at most the lesser count of each bin can be common."""
+def pairs_in_blocks(rows: DataFrame, quick: Callable, close: Callable, bins: int) -> DataFrame:
+    """Distinct pairs (a, b) of ``rows`` (key, ck, n, label, s, x) that share a key, differ in label and pass two bounds.
+
+    ``quick(n, s, m, t)`` is given whole rows against columns of numbers, ``close(n, x, m, y)`` the pairs that pass it, with
+    their sketches of ``bins`` counts."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key", kind="stable")
         ck, label = pdf["ck"].to_numpy(), pd.factorize(pdf["label"])[0]
         n, s, side = (pdf[c].to_numpy(np.int64) for c in ("n", "s", "side"))
-        x = np.frombuffer(b"".join(pdf["x"]), ">u4").reshape(-1, BINS).astype(np.int64)
+        x = np.frombuffer(b"".join(pdf["x"]), ">u4").reshape(-1, bins).astype(np.int64)
         mixed = pdf["p"].iloc[0] != pdf["q"].iloc[0]
         at = np.flatnonzero(np.concatenate([[True], np.diff(pdf["key"].to_numpy()) != 0]))
         found = set()
         for lo, hi in zip(at, [*at[1:], len(pdf)]):
             for a in range(lo, hi, 256):
                 i, j = np.arange(a, min(a + 256, hi)), np.arange(lo, hi)
-                common = np.minimum(s[i][:, None], s[j])
-                ok = (label[i][:, None] != label[j]) & (100 * common >= percent * (n[i][:, None] + n[j] - common))
+                ok = (label[i][:, None] != label[j]) & quick(n[i][:, None], s[i][:, None], n[j], s[j])
                 ok &= side[i][:, None] < side[j] if mixed else i[:, None] < j
                 u, v = np.nonzero(ok)
                 u, v = i[u], j[v]
                 for part in np.array_split(np.arange(len(u)), len(u) // 65536 + 1):
                     k, m = u[part], v[part]
-                    common = np.minimum(x[k], x[m]).sum(1)
-                    hit = 100 * common >= percent * (n[k] + n[m] - common)
+                    hit = close(n[k], x[k], n[m], x[m])
                     found.update((min(ck[y], ck[z]), max(ck[y], ck[z])) for y, z in zip(k[hit], m[hit]))
         return pd.DataFrame(list(found), columns=["a", "b"])
-    return run
+
+    kind = rows.schema["ck"].dataType.simpleString()
+    return _blocks(rows).groupBy("g", "p", "q").applyInPandas(run, f"a {kind}, b {kind}").distinct()
+
+
+def _can_share(percent: int):
+    """Bounds of two sets: at most the lesser count of their shared elements, and of each bin, can be common."""
+    def quick(n, s, m, t):
+        common = np.minimum(s, t)
+        return 100 * common >= percent * (n + m - common)
+
+    def close(n, x, m, y):
+        common = np.minimum(x, y).sum(1)
+        return 100 * common >= percent * (n + m - common)
+    return quick, close
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -319,7 +334,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     sets = mine.join(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     sets = scratch(sets.dropDuplicates(["set_key"]).select(F.col("set_key").alias("ck"), "shingles"), "sets")
     linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent), lambda classes: _bins(classes, sets),
-                    lambda rows: _blocks(rows).groupBy("g", "p", "q").applyInPandas(_promising(percent), "a binary, b binary").distinct(), f"100 * s >= {percent} * n", coarse.select("key", "ck", "n"))
+                    lambda rows: pairs_in_blocks(rows, *_can_share(percent), BINS), f"100 * s >= {percent} * n", coarse.select("key", "ck", "n"))
     linker.run()
     labelled = linker.labelled(classes.select("ck", "rep", "size"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
