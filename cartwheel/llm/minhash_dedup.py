@@ -192,9 +192,9 @@ class Linker:
         self.labels = scratch(components(every), "labels")
 
     def run(self, pairs_per_row: int = 4) -> None:
-        """Link until no key holds two components that could still be joined. Members are compared with all others of
-        their key only when there are at most ``pairs_per_row`` such pairs for each row of ``members``, or when the sketches
-        tell which pairs are worth a look; before that, pivots shrink the number."""
+        """Link until no key holds two components that could still be joined. First each key's pivot meets its other members;
+        then the sketches tell which pairs are worth a look. Without sketches there are further pivots until at most
+        ``pairs_per_row`` pairs are left for each row of ``members``, which are then all compared."""
         n = self.members.count()
         while True:
             rows = scratch(self.open_rows(), "open")
@@ -204,7 +204,7 @@ class Linker:
                 return
             if self.sketched:
                 return self.verify(self.promising(rows))
-            if left <= pairs_per_row * n:
+            if self.sketch is None and left <= pairs_per_row * n:
                 return self.verify(self.between(rows))
             pivots = scratch(self.pivots(rows), "pivots")
             pairs = rows.join(pivots, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
