@@ -4,7 +4,10 @@ Numbers, names and units become typed placeholders, so a question asked again wi
 same template. Templates are cut into windows; the windows of the benchmark are hash-joined with all
 windows of all documents. A hit also needs consistent slots: the pattern in which slot values recur in the window (first,
 second, first again ...) must be equal on both sides, as a re-parameterised question replaces equal values by equal
-ones. Windows that consist mostly of slots say little and are not used.
+ones. Windows that consist mostly of slots say little and are not used as templates.
+
+Whole items must be findable whatever their words are, so a second join compares the tokens themselves, without types or a
+bound on literals: every window of the benchmark, and every shorter item as a whole, is found where it stands word for word.
 """
 
 from __future__ import annotations
@@ -50,33 +53,50 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(out), SPLIT, " "))
 
 
+#: Scripts written without spaces (Thai, Lao, Tibetan, Burmese, Khmer, kana, Han): each character is a token where tokens are compared as they are.
+UNSPACED = (r"[\u0E00-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]\p{M}*", " $0 ")
+#: Between digits an operator is a token and a separator stays; all else that is no letter, digit or mark goes. What is rare in a text is tried first.
+OPERATORS = (r"\x20?([-+*/=<>^×÷])(?<=\d\x20?[-+*/=<>^×÷])\x20?(?=\d)", " $1 ")
+SYMBOLS = (r"[^a-z0-9\x20\x09-\x0D\p{L}\p{N}\p{M}](?<!\d[.,:](?=\d)|\d\x20[-+*/=<>^×÷](?=\x20\d))", "")
+
+
+def exact(text: Column) -> Column:
+    """Lower-cased tokens joined by one space, numbers and names with their values and without marks."""
+    out = F.lower(F.coalesce(text, F.lit("")))
+    for pattern, to in (UNSPACED, OPERATORS, SYMBOLS, (SPLIT, " ")):
+        out = F.regexp_replace(out, pattern, to)
+    return F.trim(out)
+
+
 BEGIN = 3  # tokens whose hash tells quickly that no benchmark window begins at a place
 #: Distinct beginnings and longest tokens of benchmark windows that texts are searched for first; with more of
 #: them every window goes to the join. The result is the same.
 MAX_BEGINNINGS, MAX_ANCHORS = 100_000, 10_000
 
 
-def windows(table: DataFrame, key: str, widths: list[int], whole_below: bool = False, beginnings: list[int] | None = None, anchors: list[int] | None = None) -> DataFrame:
+def windows(table: DataFrame, key: str, widths: list[int], whole_below: bool = False, beginnings: list[int] | None = None, anchors: list[int] | None = None, reading=canonical) -> DataFrame:
     """id, width, begin, anchor, literals, template, pattern of all windows of each width in each text.
 
     template: hash of the typed tokens, begin: of the first of them, anchor: of the longest; pattern: hash of where each slot
     value occurs first in the window (0: no slot). ``whole_below``: a text of fewer tokens gives one window, itself.
-    ``beginnings``: only windows that begin so; ``anchors``: only texts with one of these tokens (the anchor is then left out)."""
+    ``beginnings``: only windows that begin so; ``anchors``: only texts with one of these tokens (the anchor is then left out).
+    ``reading``: what makes tokens of a text; a text without any has no window."""
     # no filter stands on computed columns here: the optimiser would move it down and compute them once more for it
-    tokens = table.select(F.col(key).alias("id"), canonical(F.col("text")).alias("c"))
+    tokens = table.select(F.col(key).alias("id"), reading(F.col("text")).alias("c"))
     marked = F.col("c").rlike("[\\x02-\\x04]")
     shape = F.transform(F.split(F.when(marked, F.regexp_replace("c", *TEMPLATE)).otherwise(F.col("c")), " "), lambda w: F.xxhash64(w))
     value = F.expr("transform(split(c, ' '), w -> if(ascii(w) < 5, shiftrightunsigned(xxhash64(w), 1) | 1, 0L))")
     length = F.array().cast("array<int>") if anchors is not None else F.transform(F.split("c", " "), F.length)
+    shape = F.when(F.col("c") != "", shape).otherwise(F.array().cast("array<bigint>"))
     tokens = tokens.select("id", shape.alias("t"), F.when(marked, value).alias("v"), length.alias("l"))
-    begin = "xxhash64(" + ", ".join(f"get(t, i{k - 1:+d})" for k in range(BEGIN)) + ")"
-    cut = f"transform(at, i -> struct({begin} AS begin, slice(t, i, width) AS t, slice(v, i, width) AS v, slice(l, i, width) AS l))"
     out = None
     for width in widths:
+        begin = "xxhash64(" + ", ".join(f"get(t, i{k - 1:+d})" for k in range(min(BEGIN, width))) + ")"
+        cut = f"transform(at, i -> struct({begin} AS begin, slice(t, i, width) AS t, slice(v, i, width) AS v, slice(l, i, width) AS l))"
         w = tokens.withColumn("width", F.least(F.size("t"), F.lit(width)) if whole_below else F.lit(width))
-        places = F.expr("if(size(t) >= width, sequence(1, size(t) - width + 1), cast(array() as array<int>))")
+        places = F.expr("if(size(t) >= width AND width > 0, sequence(1, size(t) - width + 1), cast(array() as array<int>))")
         if beginnings is not None:
-            places = F.filter(places, lambda i: F.xxhash64(*(F.get("t", i + (k - 1)) for k in range(BEGIN))).isin(beginnings))
+            places = F.filter(places, lambda i: F.xxhash64(*(F.get("t", i + (k - 1)) for k in range(min(BEGIN, width)))).isin(beginnings))
         if anchors is not None:
             places = F.when(F.arrays_overlap("t", F.array(*(F.lit(x) for x in anchors))), places)
         w = w.withColumn("at", places).select("id", "width", F.explode_outer(F.expr(cut)).alias("w")).where("w IS NOT NULL").select("id", "width", "w.*")
@@ -92,24 +112,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, mi
     """Find the documents that hold a window of a benchmark item, slots changed consistently or not at all.
 
     ``docs``: doc_id, text; ``benchmark``: item_id, text. A benchmark text of fewer than ``width`` tokens is one
-    window; windows with fewer than ``min_literals`` literal tokens are not used. Result, one row per row of
-    ``docs``: doc_id, contaminated, n_hits (windows hit), item_id (least item hit, else -1). Null and empty
-    texts are clean; rows that repeat a doc_id share the findings of all of them, as rows without an id do.
-    An empty benchmark leaves all documents clean. Other columns are ignored."""
-    asked = windows(benchmark, "item_id", [width], True).where(F.col("literals") >= min_literals)
+    window. Windows with fewer than ``min_literals`` literal tokens are not used as templates; they are found, like all
+    others, where their very tokens stand. Result, one row per row of ``docs``: doc_id, contaminated, n_hits (windows hit as
+    templates; if none is, windows hit token by token), item_id (least item hit in the join that n_hits counts, else -1).
+    Null and empty texts are clean, items without a letter or digit match nothing; rows that repeat a doc_id share the findings
+    of all of them, as rows without an id do. An empty benchmark leaves all documents clean. Other columns are ignored."""
+    ids, hits = docs.select("doc_id"), None
+    for rank, (reading, least) in enumerate(((canonical, min_literals), (exact, 0))):
+        part = _hits(docs, benchmark, width, least, reading)
+        if part is not None:
+            part = part.withColumn("rank", F.lit(rank))
+            hits = part if hits is None else hits.unionByName(part)
+    if hits is None:
+        return ids.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_hits"), F.lit(-1).cast("long").alias("item_id"))
+    found = hits.groupBy("id", "rank").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("item"))
+    found = found.groupBy("id").agg(F.min(F.struct("rank", "n", "item")).alias("x")).select("id", F.col("x.n").alias("n_hits"), F.col("x.item").alias("item_id"))
+    out = ids.join(found, ids["doc_id"].eqNullSafe(found["id"]), "left")
+    return out.select("doc_id", F.col("n_hits").isNotNull().alias("contaminated"), F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"), F.coalesce("item_id", F.lit(-1)).cast("long").alias("item_id"))
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, width: int, min_literals: int, reading) -> DataFrame | None:
+    """id, item_id of each window of the documents that is a window of the benchmark in this reading; None without benchmark windows."""
+    asked = windows(benchmark, "item_id", [width], True, reading=reading).where(F.col("literals") >= min_literals)
     asked = scratch(asked.groupBy("width", "begin", "template", "pattern").agg(F.min("id").alias("item_id"), F.first("anchor").alias("anchor")), "asked")
     n, widths = asked.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("width"))).first()  # at most ``width`` values
-    ids = docs.select("doc_id")
     if not n:
-        return ids.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_hits"), F.lit(-1).cast("long").alias("item_id"))
+        return None
     first = [r["begin"] for r in asked.select("begin").distinct().limit(MAX_BEGINNINGS + 1).collect()]
     words = [r["anchor"] for r in asked.select("anchor").distinct().limit(MAX_ANCHORS + 1).collect()]
     side = (F.broadcast(asked) if n <= BROADCAST_WINDOWS else asked).drop("begin", "anchor")
-    found = windows(docs, "doc_id", list(widths), beginnings=first if len(first) <= MAX_BEGINNINGS else None, anchors=words if len(words) <= MAX_ANCHORS else None)
-    hits = found.select("id", "width", "template", "pattern").join(side, ["width", "template", "pattern"])
-    found = hits.groupBy("id").agg(F.count(F.lit(1)).alias("n_hits"), F.min("item_id").alias("item_id"))
-    out = ids.join(found, ids["doc_id"].eqNullSafe(found["id"]), "left")
-    return out.select("doc_id", F.col("n_hits").isNotNull().alias("contaminated"), F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"), F.coalesce("item_id", F.lit(-1)).cast("long").alias("item_id"))
+    found = windows(docs, "doc_id", list(widths), beginnings=first if len(first) <= MAX_BEGINNINGS else None, anchors=words if len(words) <= MAX_ANCHORS else None, reading=reading)
+    return found.select("id", "width", "template", "pattern").join(side, ["width", "template", "pattern"]).select("id", "item_id")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

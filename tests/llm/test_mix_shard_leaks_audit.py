@@ -125,6 +125,18 @@ def test_inconsistent_slots_are_no_hit(documents, spark):
     assert {r.doc_id: r.contaminated for r in decontaminate(docs, bench).collect()} == {1: True, 2: False, 3: False}
 
 
+SHORT = {1: "What is the capital of France?", 2: "Yes", 3: "12 13 14 15 16 17 18 19 20 21 22 23 24 25 26 27", 4: "法国的首都是哪里？", 5: "5 + 3", 6: "Anna met Bob near Rome and Tom saw Eva in Ulm with Max and Ida at Bonn"}
+
+
+def test_items_below_the_literal_bound_are_found_word_for_word(documents, spark):
+    bench = spark.createDataFrame([*SHORT.items(), (7, "?!")], "item_id long, text string")
+    docs = documents([(k, f"so then {t} ok") for k, t in SHORT.items()] + [(20, "what is the capital of Spain?"), (21, "22 13 14 15 16 17 18 19 20 21 32 23 24 25 26 27"), (22, "5 - 3"),
+                     (23, "法国的首都在哪里"), (24, "?!"), (25, ""), (26, "我问：法国的首都是哪里？请回答")])
+    got = {r.doc_id: r for r in decontaminate(docs, bench).collect()}
+    assert {k: (got[k].contaminated, got[k].item_id) for k in SHORT} == {k: (True, k) for k in SHORT}
+    assert {k: got[k].contaminated for k in range(20, 27)} == {20: False, 21: False, 22: False, 23: False, 24: False, 25: False, 26: True}
+
+
 def test_empty_benchmark_and_empty_documents(documents, benchmark):
     assert {r.contaminated for r in decontaminate(documents([(1, ITEM)]), benchmark.limit(0)).collect()} == {False}
     assert decontaminate(documents([]), benchmark).count() == 0
