@@ -6,6 +6,9 @@ windows of all documents. A hit also needs consistent slots: the pattern in whic
 second, first again ...) must be equal on both sides, as a re-parameterised question replaces equal values by equal
 ones. Windows that consist mostly of slots say little and are not used as templates.
 
+A capitalised word that begins a sentence may be a name or not: templates are compared once with such words as literals and
+once with every run of capitalised words as one name, on both sides.
+
 Whole items must be findable whatever their words are, so a second join compares the tokens themselves, without types or a
 bound on literals: every window of the benchmark, and every shorter item as a whole, is found where it stands word for word.
 """
@@ -53,6 +56,23 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(out), SPLIT, " "))
 
 
+#: Any capitalised word is a name, wherever it stands, and a run of them is one.
+ANY_NAME = (r"\p{Lu}(?<![\p{L}\p{N}\p{M}]['’-]?\p{Lu})[\p{L}\p{M}\p{N}'’-]*", " " + NAME + "$0")
+RUN_OF_NAMES = (r"(\x02[\p{L}\p{M}\p{N}'’-]*)\x20+(?=\x02)", "$1")
+
+
+def folded(text: Column) -> Column:
+    """As ``canonical``, but white space is made one first and names may begin a sentence or line, be in capitals or have several words."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01-\x20]+", " ")
+    out = plain
+    for pattern, to in NUMBERS:
+        out = F.regexp_replace(out, pattern, to)
+    out = F.when(plain.rlike("[0-9]"), out).otherwise(plain)
+    for pattern, to in (ANY_NAME, RUN_OF_NAMES, PUNCTUATION):
+        out = F.regexp_replace(out, pattern, to)
+    return F.trim(F.regexp_replace(F.lower(out), SPLIT, " "))
+
+
 #: Scripts written without spaces (Thai, Lao, Tibetan, Burmese, Khmer, kana, Han): each character is a token where tokens are compared as they are.
 UNSPACED = (r"[\u0E00-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]\p{M}*", " $0 ")
 #: Between digits an operator is a token and a separator stays; all else that is no letter, digit or mark goes. What is rare in a text is tried first.
@@ -114,11 +134,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, mi
     ``docs``: doc_id, text; ``benchmark``: item_id, text. A benchmark text of fewer than ``width`` tokens is one
     window. Windows with fewer than ``min_literals`` literal tokens are not used as templates; they are found, like all
     others, where their very tokens stand. Result, one row per row of ``docs``: doc_id, contaminated, n_hits (windows hit as
-    templates; if none is, windows hit token by token), item_id (least item hit in the join that n_hits counts, else -1).
+    templates; if none is, as templates with every capitalised word a name; if none is, token by token), item_id (least item hit in the join that n_hits counts, else -1).
     Null and empty texts are clean, items without a letter or digit match nothing; rows that repeat a doc_id share the findings
     of all of them, as rows without an id do. An empty benchmark leaves all documents clean. Other columns are ignored."""
     ids, hits = docs.select("doc_id"), None
-    for rank, (reading, least) in enumerate(((canonical, min_literals), (exact, 0))):
+    for rank, (reading, least) in enumerate(((canonical, min_literals), (folded, min_literals), (exact, 0))):
         part = _hits(docs, benchmark, width, least, reading)
         if part is not None:
             part = part.withColumn("rank", F.lit(rank))

@@ -137,6 +137,20 @@ def test_items_below_the_literal_bound_are_found_word_for_word(documents, spark)
     assert {k: got[k].contaminated for k in range(20, 27)} == {20: False, 21: False, 22: False, 23: False, 24: False, 25: False, 26: True}
 
 
+APPLES = "Anna has 5 apples. Anna gives 2 apples to a friend. Anna eats 1 apple. How many apples does Anna have left?"
+TRAIN = "The train from New York leaves at noon and the bus from the old harbour leaves two hours later."
+
+
+def test_names_are_found_wherever_they_stand(documents, spark):
+    other = APPLES.replace("Anna", "Tom").replace("5", "9").replace("2", "3").replace("1", "4")
+    bench = spark.createDataFrame([(1, APPLES), (2, TRAIN)], "item_id long, text string")
+    found = {1: "Quiz: " + other, 2: other.replace("Tom", "Mary Ann Smith"), 3: other.replace("Tom", "TOM"), 4: other.replace(" ", "  ").replace(".  ", ".\n"),
+             5: APPLES.lower(), 6: APPLES.upper(), 7: TRAIN.replace("New York", "Paris"), 8: TRAIN.replace("from New", "from\nNew").replace("York", "Delhi")}
+    clean = {20: "Tom has 9 pears. Tom buys 3 pears in the shop. Mia eats 4 of them. How many pears does Tom have left?", 21: "THE BUS FROM NEW YORK", 22: " ".join(["Anna"] * 30)}
+    got = {r.doc_id: r for r in decontaminate(documents([*found.items(), *clean.items()]), bench).collect()}
+    assert {k: got[k].item_id for k in got} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2, 20: -1, 21: -1, 22: -1}
+
+
 def test_empty_benchmark_and_empty_documents(documents, benchmark):
     assert {r.contaminated for r in decontaminate(documents([(1, ITEM)]), benchmark.limit(0)).collect()} == {False}
     assert decontaminate(documents([]), benchmark).count() == 0
