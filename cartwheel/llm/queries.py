@@ -10,12 +10,15 @@ from .decontaminate import MIN_LITERALS, TEMPLATE, WINDOW, decontaminate, sql_ca
 from .exact_dedup import digests, exact_dedup
 from .fixity import Tree, audit, manifest, replica
 from .hmm import hmm_scores
+from .language_id import language_ids
 from .line_dedup import line_dedup
+from .merkle_manifest import merkle_manifest
 from .minhash_dedup import near_duplicates
 from .mixing import mix
 from .quality import quality_scores
 from .sharding import shard_table
 from .substring_dedup import substring_dedup
+from .tokenizer_alignment import align_tokenizers
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +83,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(documents(spark, sf_dir))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(documents(spark, sf_dir))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_minhash_dedup, op4_warc_fixity, op5_quality_qda, op6_pfair_mix, op7_lpt_shards,
-                                    op8_template_decontamination, op9_hmm_scores, op10_line_dedup)}
+                                    op8_template_decontamination, op9_hmm_scores, op10_line_dedup, op11_tokenizer_alignment, op12_language_id, op13_merkle_manifest)}
+
+#: crc32 of doc_id's decimal digits: eight shifts for each of them.
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
 
 SQL = {
     "op1_exact_dedup": """
@@ -136,4 +155,24 @@ stays AS (SELECT r.a AS line, min(u.first) AS first FROM reach r JOIN u ON u.lin
 gone AS (SELECT doc_id, count(*) AS n_removed, list(CAST(line_no AS INTEGER) ORDER BY line_no) AS removed_lines FROM l JOIN stays USING (line) WHERE (doc_id, line_no) <> first GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(a), 0) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed_lines, []) AS removed_lines
 FROM documents d LEFT JOIN s USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE f(v, c) AS (SELECT * FROM (VALUES (0, 0), (1, 1)) t),
+d AS (SELECT doc_id, lang, v, crc % 7 = 0 AS hit, sha256(coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(length((n_chars + c)::VARCHAR) || ':' || (n_chars + c), '-') || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf
+  FROM (SELECT *, {CRC} AS crc FROM documents) CROSS JOIN f),
+p AS (SELECT doc_id, lang, leaf, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i FROM d WHERE v = 0),
+tree(lang, lvl, nodes) AS (SELECT lang, 0, list(leaf ORDER BY i) FROM p GROUP BY lang
+  UNION ALL SELECT lang, lvl + 1, list_transform(range(0, len(nodes), 2), lambda k: sha256(array_to_string(nodes[k + 1:k + 2], ''))) FROM tree WHERE len(nodes) > 1),
+sub AS (SELECT lang, lvl AS top, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM tree WHERE len(nodes) = 1),
+roots(lvl, nodes) AS (SELECT 0, list(subroot ORDER BY i) FROM sub
+  UNION ALL SELECT lvl + 1, list_transform(range(0, len(nodes), 2), lambda k: sha256(array_to_string(nodes[k + 1:k + 2], ''))) FROM roots WHERE len(nodes) > 1),
+whole AS (SELECT nodes[1] AS root FROM roots WHERE len(nodes) = 1),
+way AS (SELECT p.doc_id, t.lvl, p.i // (1 << t.lvl) AS i, t.nodes FROM p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang WHERE len(t.nodes) > 1
+  UNION ALL SELECT p.doc_id, s.top + r.lvl, s.i // (1 << r.lvl), r.nodes FROM p JOIN sub s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN roots r WHERE len(r.nodes) > 1),
+step AS (SELECT doc_id, lvl, i % 2 AS side, CASE WHEN i % 2 = 1 THEN nodes[i] ELSE coalesce(nodes[i + 2], '') END AS sibling FROM way),
+proof AS (SELECT doc_id, sha256(string_agg(sibling, '' ORDER BY lvl)) AS proof_sha256, max(lvl) + 1 AS height FROM step GROUP BY doc_id),
+fold(doc_id, lvl, h) AS (SELECT doc_id, 0, leaf FROM d WHERE v = CASE WHEN hit THEN 1 ELSE 0 END
+  UNION ALL SELECT f.doc_id, f.lvl + 1, sha256(CASE WHEN side = 1 THEN sibling || h ELSE h || sibling END) FROM fold f JOIN step s ON s.doc_id = f.doc_id AND s.lvl = f.lvl)
+SELECT p.doc_id, p.leaf, s.subroot, w.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = w.root AS verified
+FROM p JOIN sub s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN whole w LEFT JOIN proof q ON q.doc_id = p.doc_id JOIN fold f ON f.doc_id = p.doc_id AND f.lvl = coalesce(q.height, 0)""",
 }
