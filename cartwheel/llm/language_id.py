@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_crc, utf8
+from .common import id_crc, scratch, utf8
 from .minhash_dedup import pieces
 
 TRAIN_BYTES = 1 << 16  # labelled text of one language
@@ -113,7 +113,11 @@ def labelled_sample(docs: DataFrame, folds: int = 5, train_bytes: int = TRAIN_BY
     if not langs:
         return []
     share = max(1, min(train_bytes, all_bytes // langs))
-    texts = known.where(F.col("size") <= share).groupBy("lang", "hash").agg(F.min("size").alias("size"))
+    texts = scratch(known.where(F.col("size") <= share).groupBy("lang", "hash").agg(F.min("size").alias("size")), "texts")
+    # hashes are even: of n texts, those in the lowest 4 * need / n of all hashes hold the need lowest, however many there are
+    need = F.least(F.lit(float(train_rows)), F.lit(float(share)) * F.count(F.lit(1)) / F.sum("size")) + 64
+    part = texts.groupBy("lang").agg((F.lit(2.0 ** 66) * need / F.count(F.lit(1)) - 2.0 ** 63).alias("_below"))
+    texts = texts.join(F.broadcast(part), "lang").where(F.col("hash") < F.col("_below"))
     order = Window.partitionBy("lang").orderBy("hash")
     picks = texts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= train_rows)
     picks = picks.withColumn("_sum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("_sum") <= share).select("lang", "hash")

@@ -176,14 +176,37 @@ def test_long_runs():
     assert tuple(x.tolist() for x in got) == brute_align(a.tolist(), np.delete(a, [0, 777, 778, 4000]).tolist())
 
 
-def brute_alignment(texts, folder=TOKENIZERS):
+@pytest.fixture(scope="module")
+def slow_a():
+    from tokenizers import Tokenizer
+
+    out = Tokenizer.from_file(f"{TOKENIZERS}/byte_bpe_50k.json")
+    out.encode_special_tokens = True
+    return out
+
+
+def test_ids_of_every_character(slow_a):
+    tok = load(TOKENIZERS)
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for size in (1, 7):  # alone between letters, digits and marks, and in runs
+        texts = [" " + "".join(f"a{c}b {c}1{c}2 .{c}, {c}" for c in chars[k:k + size]) if size > 1 else f" x{chars[k]}y {chars[k]}  {chars[k]}{chars[k]}3's" for k in range(0, len(chars), 16 * size)]
+        assert [tok.a.encode_ordinary(t) for t in texts] == [e.ids for e in slow_a.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.text(max_size=200))
+def test_ids_of_any_text(slow_a, text):
+    assert load(TOKENIZERS).a.encode_ordinary(" " + text) == slow_a.encode(" " + text, add_special_tokens=False).ids
+
+
+def brute_alignment(texts, slow_a, folder=TOKENIZERS):
     """One row per text, by tokens and dictionaries."""
     tok = load(folder)
     found, pairs = [], []
     for t in texts:
         a = b = []
         if t:
-            a = tok.a.encode(" " + t, add_special_tokens=False).ids
+            a = slow_a.encode(" " + t, add_special_tokens=False).ids
             b = tok.b.encode(t)
             want = (" " + t).encode()
             if b"".join(tok.a_bytes[i] for i in a) != want or b"".join(tok.b_bytes[i] for i in b) != want:
@@ -209,13 +232,13 @@ def brute_alignment(texts, folder=TOKENIZERS):
     return out
 
 
-def test_alignment_against_plain_loops(spark, documents, odd_rows):
+def test_alignment_against_plain_loops(spark, documents, odd_rows, slow_a):
     rng = random.Random(5)
     some = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
     odd = ["<|endoftext|> and <s> </s> <0x41>", "a▁b", "▁", " ", "  two", "x  ", "ภาษา \U0001f600\U0001f601‍", "tab\tand\r\nlines\n\n\n", "\x00\x01", "é é", "ﬁ", "1234567890" * 20,
            "".join(rng.choice("ab é中\U0001f600.\n") for _ in range(3000)), "\U0001f600" * 400, "word" * 9000, " ".join("q" * rng.randint(1, 9) for _ in range(9000))]
     rows = [*odd_rows, *((1000 + k, t) for k, t in enumerate(some + odd))]
-    want = Counter(zip([r[0] for r in rows], brute_alignment([r[1] for r in rows])))
+    want = Counter(zip([r[0] for r in rows], brute_alignment([r[1] for r in rows], slow_a)))
     for chunk_bytes in (1, 8 << 20):
         got = align_tokenizers(documents(rows, 4), chunk_bytes=chunk_bytes).collect()
         assert Counter((r[0], tuple(r)[1:]) for r in got) == want
@@ -226,11 +249,11 @@ def test_alignment_against_plain_loops(spark, documents, odd_rows):
 
 @settings(deadline=None, max_examples=60)
 @given(st.lists(st.sampled_from(["a", " ", "  ", "word", "'s", ".", "\n", "\t", " ", "é", "12", "中", "　", "\x1c"]), min_size=1, max_size=80).map("".join))
-def test_parts_give_the_tokens_of_the_whole(text):
+def test_parts_give_the_tokens_of_the_whole(slow_a, text):
     tok = load(TOKENIZERS)
     whole = " " + text
     parts = cut(whole, 5)
     assert "".join(parts) == whole and all(p[0] == " " for p in parts)
-    a = [i for p in parts for i in tok.a.encode(p, add_special_tokens=False).ids]
+    a = [i for p in parts for i in tok.a.encode_ordinary(p)]
     b = [i for p in parts for i in tok.b.encode(p[1:])]
-    assert a == tok.a.encode(whole, add_special_tokens=False).ids and b == tok.b.encode(text)
+    assert a == slow_a.encode(whole, add_special_tokens=False).ids and b == tok.b.encode(text)
