@@ -20,7 +20,7 @@ from ..functions.weights import binary_matrix, bm25, tfidf, user_item_matrix, we
 from ..operators.content import content_based_recs
 from ..operators.factor import fit_als, similar_from_factors
 from ..operators.features import feature_frame, item_features, pair_features, user_features
-from ..operators.hybrid import fit_hybrid_fm, negative_pairs
+from ..operators.hybrid import fit_hybrid_fm, hybrid_data, negative_pairs
 from ..operators.item_item import item_item_neighbours, item_item_recs
 from ..operators.lsh import lsh_knn
 from ..operators.rare_first import rare_first_neighbours
@@ -388,9 +388,10 @@ def q_fm_grid(spark, sf):
     cands = f.item_item(50).persist()
     als = _als(f)  # the latent factors are the same for all configurations
     users, items = user_attributes(spark, sf), item_content(spark, sf)
+    data = hybrid_data(f.train_matrix, users, items, als, seed=SEED)  # negatives and features are the same, too
 
     def build(cfg):
-        fm = fit_hybrid_fm(f.train_matrix, users, items, als, factor_size=cfg["factor_size"],
+        fm = fit_hybrid_fm(f.train_matrix, users, items, als, data=data, factor_size=cfg["factor_size"],
                            step_size=cfg["step_size"], max_iter=cfg["max_iter"], reg_param=cfg["reg_param"],
                            fit_linear=cfg["fit_linear"], seed=SEED)
         return fm.rerank(cands, N_RECS)
