@@ -11,6 +11,10 @@ once with every run of capitalised words as one name, on both sides.
 
 Whole items must be findable whatever their words are, so a second join compares the tokens themselves, without types or a
 bound on literals: every window of the benchmark, and every shorter item as a whole, is found where it stands word for word.
+
+Making the tokens of a reading takes many passes over a text, so texts are sieved first, in one pass: a window that is hit has its longest
+pair of neighbouring words (or its longest word, if it has no such pair) in the text, in all readings. Texts with none of these
+keys have no hit and no reading is made of them. Texts in which readings cut words differently always pass.
 """
 
 from __future__ import annotations
@@ -88,6 +92,63 @@ def exact(text: Column) -> Column:
     return F.trim(out)
 
 
+#: Words that a reading may cut where white space does not: letters and digits in one word, a capital behind a sign inside a word,
+#: control characters, and scripts without spaces.
+ODD = (r"\p{L}[^\p{L}\d\s]*+\d|\d[^\p{L}\d\s]*+\p{L}|[\p{L}\p{N}][^\s\p{L}\p{N}]++\p{Lu}|[\x01-\x08\x0E-\x1F]|"
+       r"[\u0E00-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]")
+WORD = r"^\p{L}+$"
+MAX_KEYS = 100_000  # keys that are tested inside the scan; more are joined. The result is the same.
+
+
+def sieve_keys(benchmark: DataFrame, width: int) -> DataFrame:
+    """key, kind (2: pair of neighbouring words, 1: a word, 0: a window without any word) of every window in every reading."""
+    out = None
+    for reading in (canonical, folded, exact):
+        t = benchmark.select(reading(F.col("text")).alias("c")).where("c <> ''").distinct().select(F.split("c", " ").alias("t"))
+        t = t.withColumn("i", F.explode(F.expr(f"sequence(1, greatest(1, size(t) - {width - 1}))"))).select(F.slice("t", F.col("i"), F.lit(width)).alias("t"))
+        words = F.transform("t", lambda x: F.struct(F.when(x.rlike(WORD), F.length(x)).alias("n"), F.xxhash64(x).alias("h")))
+        pairs = F.expr("filter(transform(sequence(0, size(w) - 1), i -> struct(get(w, i).n + get(w, i + 1).n AS n, xxhash64(get(w, i).h, get(w, i + 1).h) AS h)), p -> p.n IS NOT NULL)")
+        t = t.select(words.alias("w")).select(F.array_max(pairs)["h"].alias("pair"), F.array_max(F.filter("w", lambda x: x["n"].isNotNull()))["h"].alias("word"))
+        t = t.select(F.coalesce("pair", "word", F.lit(0)).alias("key"), F.when(F.col("pair").isNotNull(), 2).when(F.col("word").isNotNull(), 1).otherwise(0).alias("kind"))
+        out = t if out is None else out.unionByName(t)
+    return scratch(out.distinct(), "sieve")
+
+
+def sieved(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
+    """Stored doc_id and text of the rows that may hold a window of the benchmark."""
+    rows = docs.select("doc_id", "text")
+    keys = sieve_keys(benchmark, width)
+    if not keys.where("kind = 0").isEmpty():
+        return rows  # such a window may stand in any text
+    n = keys.count()
+    plain = F.trim(F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[^a-zA-Z0-9\x20\x09-\x0D\p{L}\p{N}]+", "")), SPLIT, " "))
+    hashes = F.transform(F.split(plain, " "), lambda w: F.xxhash64(w))
+    kinds = {r["kind"] for r in keys.select("kind").distinct().collect()}
+    if n <= MAX_KEYS:
+        known = {kind: [r["key"] for r in keys.where(F.col("kind") == kind).collect()] for kind in kinds}
+        places = F.expr("sequence(1, greatest(1, size(h) - 1))")
+        hit = F.lit(False)
+        if 2 in kinds:
+            hit = hit | F.exists(places, lambda i: F.xxhash64(F.get("h", i - 1), F.get("h", i)).isin(known[2]))
+        if 1 in kinds:
+            hit = hit | F.exists("h", lambda x: x.isin(known[1]))
+        # an array as a generated column keeps the hashes from being computed for each of its uses
+        found = rows.withColumn("h", F.explode(F.array(F.when(F.col("text").rlike(ODD), F.lit(None)).otherwise(hashes)))).where(F.col("h").isNull() | hit)
+        return scratch(found.select("doc_id", "text"), "sieved")
+    both = F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("h") - 1)), lambda i: F.struct(F.xxhash64(F.get("h", i - 1), F.get("h", i)).alias("key"), F.lit(2).alias("kind"))),
+                    F.transform("h", lambda x: F.struct(x.alias("key"), F.lit(1).alias("kind"))))
+    odd = rows.where(F.col("text").rlike(ODD)).select("doc_id")
+    found = rows.select("doc_id", hashes.alias("h")).select("doc_id", F.explode(F.array_distinct(both)).alias("k")).select("doc_id", "k.*").join(keys, ["key", "kind"], "left_semi").select("doc_id")
+    ids = found.unionByName(odd).distinct().withColumnRenamed("doc_id", "_id")
+    return scratch(rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]), "left_semi"), "sieved")
+
+
+def is_template(literals: Column, n: Column, width: int, least: int) -> Column:
+    """Whether ``n`` tokens with so many literal ones are used as a template: ``least`` of them, or, in an item shorter than a window,
+    three and half of all, beside two slots (with one slot only, another value is as a rule another question)."""
+    return (literals >= least) | ((n < width) & (literals >= 3) & (2 * literals >= n) & (n - literals >= 2))
+
+
 BEGIN = 3  # tokens whose hash tells quickly that no benchmark window begins at a place
 #: Distinct beginnings and longest tokens of benchmark windows that texts are searched for first; with more of
 #: them every window goes to the join. The result is the same.
@@ -132,12 +193,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, mi
     """Find the documents that hold a window of a benchmark item, slots changed consistently or not at all.
 
     ``docs``: doc_id, text; ``benchmark``: item_id, text. A benchmark text of fewer than ``width`` tokens is one
-    window. Windows with fewer than ``min_literals`` literal tokens are not used as templates; they are found, like all
-    others, where their very tokens stand. Result, one row per row of ``docs``: doc_id, contaminated, n_hits (windows hit as
+    window. Windows with fewer than ``min_literals`` literal tokens are not used as templates (shorter items: see ``is_template``); they are found, like all others, where their very tokens stand. Texts of any length are read whole. Result, one row per row of ``docs``: doc_id, contaminated, n_hits (windows hit as
     templates; if none is, as templates with every capitalised word a name; if none is, token by token), item_id (least item hit in the join that n_hits counts, else -1).
     Null and empty texts are clean, items without a letter or digit match nothing; rows that repeat a doc_id share the findings
     of all of them, as rows without an id do. An empty benchmark leaves all documents clean. Other columns are ignored."""
     ids, hits = docs.select("doc_id"), None
+    docs = sieved(docs, benchmark, width)
     for rank, (reading, least) in enumerate(((canonical, min_literals), (folded, min_literals), (exact, 0))):
         part = _hits(docs, benchmark, width, least, reading)
         if part is not None:
@@ -153,7 +214,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, mi
 
 def _hits(docs: DataFrame, benchmark: DataFrame, width: int, min_literals: int, reading) -> DataFrame | None:
     """id, item_id of each window of the documents that is a window of the benchmark in this reading; None without benchmark windows."""
-    asked = windows(benchmark, "item_id", [width], True, reading=reading).where(F.col("literals") >= min_literals)
+    asked = windows(benchmark, "item_id", [width], True, reading=reading).where(is_template(F.col("literals"), F.col("width"), width, min_literals))
     asked = scratch(asked.groupBy("width", "begin", "template", "pattern").agg(F.min("id").alias("item_id"), F.first("anchor").alias("anchor")), "asked")
     n, widths = asked.agg(F.count(F.lit(1)), F.sort_array(F.collect_set("width"))).first()  # at most ``width`` values
     if not n:

@@ -140,8 +140,8 @@ w AS (SELECT side, id, i, n, list_slice(v, i, i + n - 1) AS v, list_slice(t, i,
   FROM (SELECT *, least(len(t), {WINDOW}) AS n, unnest(range(1, CAST(len(t) - least(len(t), {WINDOW}) + 2 AS BIGINT))) AS i FROM t)),
 k AS (SELECT side, id, i, n, array_to_string(t, ' ') AS template, CASE WHEN len(list_filter(v, lambda x: ascii(x) < 5)) = 0 THEN '' ELSE CAST(list_transform(v, lambda x: CASE WHEN ascii(x) < 5 THEN list_position(v, x) ELSE 0 END) AS VARCHAR) END AS pattern,
   len(list_filter(v, lambda x: ascii(x) >= 5)) AS literals FROM w),
-b AS (SELECT template, pattern, min(id) AS item_id FROM k WHERE side = 'b' AND literals >= {MIN_LITERALS} GROUP BY 1, 2),
-short AS (SELECT DISTINCT n FROM k WHERE side = 'b' AND literals >= {MIN_LITERALS} AND n < {WINDOW}),
+b AS (SELECT template, pattern, min(id) AS item_id FROM k WHERE side = 'b' AND (literals >= {MIN_LITERALS} OR (n < {WINDOW} AND literals >= 3 AND 2 * literals >= n AND n - literals >= 2)) GROUP BY 1, 2),
+short AS (SELECT DISTINCT n FROM k WHERE side = 'b' AND (literals >= {MIN_LITERALS} OR (n < {WINDOW} AND literals >= 3 AND 2 * literals >= n AND n - literals >= 2)) AND n < {WINDOW}),
 h AS (SELECT k.id, count(*) AS n_hits, min(item_id) AS item_id FROM k JOIN b USING (template, pattern) WHERE side = 'd' GROUP BY 1)
 SELECT doc_id, n_hits IS NOT NULL AS contaminated, coalesce(n_hits, 0) AS n_hits, coalesce(item_id, -1) AS item_id FROM documents LEFT JOIN h ON h.id = doc_id""",
     "op10_line_dedup": """

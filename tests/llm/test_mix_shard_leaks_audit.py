@@ -151,6 +151,36 @@ def test_names_are_found_wherever_they_stand(documents, spark):
     assert {k: got[k].item_id for k in got} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2, 20: -1, 21: -1, 22: -1}
 
 
+def test_short_items_are_found_with_other_values(documents, spark):
+    items = {1: "What is 12 times 7?", 2: "How many apples does Anna have if she buys 5 and eats 2?", 3: "Add 5 and 7.", 4: "Anna 5 Bob 7 it"}
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    docs = documents([(1, "quiz: What is 15 times 9? end"), (2, "so: How many apples does Tom have if she buys 7 and eats 3? ok"), (3, "Add 8 and 3 now"), (4, "Tom 3 Eva 2 it"), (5, "what is many times seven")])
+    got = {r.doc_id: r.item_id for r in decontaminate(docs, bench).collect()}
+    assert got == {1: 1, 2: 2, 3: -1, 4: -1, 5: -1}  # the last two items have too few words of their own
+
+
+def test_sieve_never_changes_the_result(spark, documents, monkeypatch):
+    """Texts whose words the readings cut in different ways, and a very long one, with and without the sieve and its join."""
+    import cartwheel.llm.decontaminate as d
+
+    items = [ITEM, APPLES, TRAIN, "The well-known rule of thumb for the old harbour says that nobody leaves early at all", "Le café à côté du marché ouvre à huit heures chaque jour de la semaine sauf lundi"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    odd = []
+    for t in items:
+        odd += [t, t.upper(), t.replace(" ", "\n"), t.replace("-", ""), t.replace(" the ", " the(5) "), t.replace(" ", "\x01"), t.replace(" ", " \u00b7 "), "x" + t, "e.g." + t, "9" + t, f"({t})", t.replace("e", "e\u0301"), "w " * 200_000 + t]
+    docs = documents([*enumerate(odd), (900, None), (901, ""), (902, "nothing here"), (None, ITEM)])
+    want = None
+    for change in ({}, {"MAX_KEYS": 0}, {"sieved": lambda rows, *_: rows.select("doc_id", "text")}):
+        with monkeypatch.context() as m:
+            for name, value in change.items():
+                m.setattr(d, name, value)
+            got = sorted(map(tuple, d.decontaminate(docs, bench).collect()), key=str)
+        want = want or got
+        assert got == want
+    assert sum(r[1] for r in want) > len(odd) * 0.6
+    assert d.sieved(docs, bench, 13).where("doc_id = 902").count() == 0
+
+
 def test_empty_benchmark_and_empty_documents(documents, benchmark):
     assert {r.contaminated for r in decontaminate(documents([(1, ITEM)]), benchmark.limit(0)).collect()} == {False}
     assert decontaminate(documents([]), benchmark).count() == 0
