@@ -90,7 +90,7 @@ II_STD = neighbours_cte() + "," + ii_recs_cte(N_CANDIDATES, "cands")
 
 def wrand_cte(name: str, weighting: str, n: int = N_RECS, seed: int = SEED, draws: int = 64,
               measure: str = "count(*)") -> str:
-    w = "CAST(round(ln(1 + m) * 1000000) AS BIGINT)" if weighting == "log" else "CAST(1 AS BIGINT)"
+    w = {"log": "CAST(round(ln(1 + m) * 1000000) AS BIGINT)", "log_strict": "CAST(round(ln(m) * 1000000) AS BIGINT)"}.get(weighting, "CAST(1 AS BIGINT)")
     return f"""
 {name}_pop AS (SELECT item_id, {measure} AS m FROM train GROUP BY item_id),
 {name}_w AS (SELECT item_id, {w} AS w FROM {name}_pop),
@@ -310,7 +310,8 @@ th AS (SELECT t.user_id, p.p_type AS type, CAST(sum(CAST(t.sales_value AS DECIMA
 sa AS (SELECT user_id, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) AS sa, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / sum(quantity) AS up FROM train GROUP BY 1),
 ip AS (SELECT item_id, CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / sum(quantity) AS ip FROM train GROUP BY 1)"""
 
-CONTENT_CTE = f"""
+def content_cte(n: int) -> str:
+    return f"""
 feat AS (SELECT p_partkey AS item_id, 'brand=' || p_brand AS feature FROM part
   UNION ALL SELECT p_partkey, 'type=' || p_type FROM part
   UNION ALL SELECT p_partkey, 'size=' || CAST(p_size AS VARCHAR) FROM part),
@@ -324,9 +325,23 @@ s2 AS (SELECT sc.user_id, sc.item_id, sc.dot / (pn.n * inn.n) AS score FROM sc
   JOIN pn ON pn.user_id = sc.user_id JOIN inn ON inn.item_id = sc.item_id
   WHERE NOT EXISTS (SELECT 1 FROM ucnt x WHERE x.user_id = sc.user_id AND x.item_id = sc.item_id)),
 cb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank
-  FROM s2) WHERE rank <= {N_RECS})"""
+  FROM s2) WHERE rank <= {n})"""
+
+
+CONTENT_CTE = content_cte(N_RECS)
+_GENERATORS = {"popular": "gp_recs", "item_item": "gi", "content": "cb", "random_log": "gl", "random_log_strict": "gs", "random_uniform": "gu"}
+_GENERATED_CTES = (neighbours_cte() + "," + ii_recs_cte(50, "gi") + "," + pop_cte("gp", 50) + "," + content_cte(50) + ","
+                   + ",".join(wrand_cte(name, law, 50, draws=1600) for name, law in (("gl", "log"), ("gs", "log_strict"), ("gu", "uniform"))) + ","
+                   + "gall AS (" + " UNION ALL ".join(f"SELECT '{g}' AS generator, user_id, item_id, rank FROM {t}" for g, t in _GENERATORS.items()) + """),
+gt AS (SELECT user_id, count(DISTINCT item_id) AS n_true FROM truth GROUP BY user_id),
+gk AS (SELECT unnest([5, 10, 50]) AS k),
+gh AS (SELECT g.generator, gk.k, g.user_id, count(t.item_id) FILTER (WHERE g.rank <= gk.k) AS hits FROM gall g CROSS JOIN gk
+  LEFT JOIN (SELECT DISTINCT user_id, item_id FROM truth) t ON t.user_id = g.user_id AND t.item_id = g.item_id GROUP BY 1, 2, 3)""")
 
 SQL.update({
+    "generator_recall": q(_GENERATED_CTES, """
+SELECT h.generator, CAST(h.k AS INTEGER) AS k, CAST(count(*) AS BIGINT) AS n_lists, round(sum(CAST(hits AS DOUBLE) / n_true) / (SELECT count(*) FROM val_users), 6) AS recall
+FROM gh h JOIN gt ON gt.user_id = h.user_id GROUP BY 1, 2"""),
     "user_features": q("", """
 SELECT user_id, CAST(count(DISTINCT basket_id) AS BIGINT) AS n_baskets, CAST(count(DISTINCT item_id) AS BIGINT) AS n_items,
   round(CAST(sum(CAST(sales_value AS DECIMAL(18,2))) AS DOUBLE) / count(DISTINCT basket_id), 6) AS mean_basket_value,

@@ -36,7 +36,7 @@ from ..sources.chunks import chunk_manifest, chunk_rows, write_chunks
 from ..sources.csv_table import read_csv_table
 from ..sources.lists import lists_to_long, long_to_lists
 from ..sources.retail import item_content, load_interactions, table, user_attributes
-from .evaluation import (best_worst, candidate_union, compare, level_comparison, recall_curve,
+from .evaluation import (best_worst, candidate_union, compare, generator_recall, level_comparison, recall_curve,
                          result_table, summary_table)
 from .recommender import Recommender
 from .selection import grid_report, mark_best, quality_gate
@@ -177,6 +177,30 @@ def q_recall_curve(spark, sf):
     return recall_curve(gens, f.truth, RECALL_KS, f.val_users).select("generator", "k", r6("recall"))
 
 
+GENERATOR_KS, N_GENERATED = (5, 10, 50), 50
+
+
+def _generated(f: Frame) -> dict[str, DataFrame]:
+    """Lists of 50 of every generator whose result does not hang on an optimiser."""
+    lists = {"popular": recs_from_list(f.val_users, popular_list(f.train, N_GENERATED, "count")), "item_item": f.item_item(N_GENERATED),
+             "content": content_based_recs(f.train, item_content(f.spark, f.sf_dir), f.val_users, N_GENERATED)}
+    for law in ("log", "log_strict", "uniform"):
+        lists[f"random_{law}"] = weighted_random_recs(f.train, f.val_users, N_GENERATED, seed=SEED, weighting=law)
+    return lists
+
+
+def q_generator_recall(spark, sf):
+    f = Frame(spark, sf)
+    return generator_recall(_generated(f), f.truth, GENERATOR_KS, f.val_users).select("generator", "k", F.col("n_lists").cast("bigint").alias("n_lists"), r6("recall"))
+
+
+def q_generator_recall_als(spark, sf):
+    """The same table with the ALS lists beside them."""
+    f = Frame(spark, sf)
+    lists = {**_generated(f), "als": _als(f).recommend(f.val_users, N_GENERATED, exclude_seen=True)}
+    return generator_recall(lists, f.truth, GENERATOR_KS, f.val_users).select("generator", "k", F.col("n_lists").cast("bigint").alias("n_lists"), r6("recall"))
+
+
 def _baselines(f):
     return {
         "popular": (_pop_items_df(None, f, N_RECS), True),
@@ -599,6 +623,8 @@ QUERIES: dict[str, Query] = {
     "chunk_assign": q_chunk_assign,
     "chunk_manifest": q_chunk_manifest,
     "recall_curve": q_recall_curve,
+    "generator_recall": q_generator_recall,
+    "generator_recall_als": q_generator_recall_als,
     "algorithm_summary": q_algorithm_summary,
     "best_worst": q_best_worst,
     "candidate_union": q_candidate_union,
