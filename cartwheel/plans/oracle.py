@@ -452,6 +452,8 @@ parts AS (SELECT 'level1_train' AS split, * FROM train UNION ALL SELECT 'level2_
                        "SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM parts GROUP BY 1"),
     "list_round_trip": q(neighbours_cte() + "," + ii_recs_cte(10, "recs"), "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM recs"),
     "csv_round_trip": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "csv_splits": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, '"' || o_orderstatus || '", ' || chr(10) || o_orderpriority || chr(10) AS note,
+  row_number() OVER (ORDER BY o_orderkey) AS row_no, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders""",
     "facade_recs": q("\nall_users AS (SELECT DISTINCT user_id FROM train)," + neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs", users="all_users") + ","
                      + pop_cte("pop", N_RECS, users="all_users") + "," + fill_cte("fin", "recs", "pop", "all_users", N_RECS),
                      "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM fin"),

@@ -33,7 +33,7 @@ from ..operators.random_recs import weighted_random_recs
 from ..operators.split import eval_users, split_by_week, split_two_level, truth_table, week_range
 from ..session import ensure_checkpoint_dir
 from ..sources.chunks import chunk_manifest, chunk_rows, write_chunks
-from ..sources.csv_table import read_csv_table
+from ..sources.csv_table import WRITE_OPTIONS, read_csv_table
 from ..sources.lists import lists_to_long, long_to_lists
 from ..sources.retail import item_content, load_interactions, table, user_attributes
 from .evaluation import (best_worst, candidate_union, compare, generator_recall, level_comparison, recall_curve,
@@ -573,6 +573,16 @@ def q_csv_round_trip(spark, sf):
     return read_csv_table(spark, path).select(*cols)
 
 
+def q_csv_splits(spark, sf):
+    """Orders with notes of several lines, quotes and commas, written as CSV, read by splits and chunked in file order without a key."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    note = F.concat_ws("\n", F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('", ')), "o_orderpriority", F.lit(""))
+    orders = _orders(spark, sf).select("o_orderkey", note.alias("note"))
+    orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").write.options(**WRITE_OPTIONS).csv(path)
+    rows = read_csv_table(spark, path, splits=True, positions=True)
+    return chunk_rows(rows, 1000).select("o_orderkey", "note", "row_no", "chunk_id")
+
+
 def q_facade_recs(spark, sf):
     """Item-item lists of every known user, short lists filled with popular items, through the facade."""
     f = Frame(spark, sf)
@@ -660,6 +670,7 @@ QUERIES: dict[str, Query] = {
     "holdout_split": q_holdout_split,
     "list_round_trip": q_list_round_trip,
     "csv_round_trip": q_csv_round_trip,
+    "csv_splits": q_csv_splits,
     "facade_recs": q_facade_recs,
     "restricted_recs": q_restricted_recs,
     "training_frame": q_training_frame,

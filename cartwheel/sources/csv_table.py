@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_splits import file_records, parse_records
+
 READ_OPTIONS = {
     "header": "true", "inferSchema": "false", "multiLine": "true", "recursiveFileLookup": "true", "quote": '"', "escape": '"',
     "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -56,11 +58,18 @@ def _check_equal_headers(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path}: the files have different headers")
 
 
-def read_csv_table(spark: SparkSession, path: str, on_ragged: str = "fail",
-                   columns: list[str] | None = None) -> DataFrame:
-    """All columns as text. Every file must have the same header in the same order; a difference fails the read."""
+def read_csv_table(spark: SparkSession, path: str, on_ragged: str = "fail", columns: list[str] | None = None,
+                   splits: bool = False, positions: bool = False) -> DataFrame:
+    """All columns as text. Every file must have the same header in the same order; a difference fails the read.
+
+    A file is read by one task, or with ``splits`` by as many as it has splits (``csv_splits``; the same rows, one shuffle more):
+    the way to read few large files. ``positions`` (with ``splits``) adds ``_file, _block, _line``, the order of the files."""
+    if positions and not splits:
+        raise ValueError("positions are known to a read by splits only")
     raw = _first_line(spark, path)
     names = columns or safe_names(raw)
+    if splits:
+        return parse_records(file_records(spark, path), raw, names, READ_OPTIONS, on_ragged, positions)
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     opts = dict(READ_OPTIONS)
     if names == raw:
