@@ -452,6 +452,16 @@ parts AS (SELECT 'level1_train' AS split, * FROM train UNION ALL SELECT 'level2_
                        "SELECT split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM parts GROUP BY 1"),
     "list_round_trip": q(neighbours_cte() + "," + ii_recs_cte(10, "recs"), "SELECT user_id, item_id, CAST(rank AS BIGINT) AS rank FROM recs"),
     "csv_round_trip": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "grid_log": q(_GRID_CTES + """,
+gl AS (""" + " UNION ALL ".join(f"SELECT '{mid}' AS model_id, avg(precision) AS p, avg(ap) AS m FROM gm_{mid}" for mid in _GRID if mid.startswith("ii_")) + ")", f"""
+SELECT model_id, CASE WHEN model_id LIKE 'ii_k5%' THEN CAST(5 AS BIGINT) ELSE CAST(20 AS BIGINT) END AS k_neighbours, split_part(model_id, '_', 3) AS weighting,
+  round(p, 6) AS precision_at_{N_RECS}, round(m, 6) AS map_at_{N_RECS},
+  row_number() OVER (ORDER BY round(p, 9) DESC, model_id) = 1 AS is_best FROM gl"""),
+    "newton_ranker_check": q("""
+lvl2_users AS (SELECT DISTINCT user_id FROM lvl2),""" + neighbours_cte() + "," + ii_recs_cte(N_CANDIDATES, "c", users="lvl2_users") + """,
+later AS (SELECT DISTINCT user_id, item_id FROM lvl2)""", """
+SELECT count(*) AS n_rows, count(l.user_id) AS n_positive, true AS optimal
+FROM c LEFT JOIN later l ON l.user_id = c.user_id AND l.item_id = c.item_id"""),
     "csv_splits": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, '"' || o_orderstatus || '", ' || chr(10) || o_orderpriority || chr(10) AS note,
   row_number() OVER (ORDER BY o_orderkey) AS row_no, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders""",
     "facade_recs": q("\nall_users AS (SELECT DISTINCT user_id FROM train)," + neighbours_cte() + "," + ii_recs_cte(N_RECS, "recs", users="all_users") + ","

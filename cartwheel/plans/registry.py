@@ -407,6 +407,37 @@ def q_als_grid(spark, sf):
     return mark_best(rep, f"precision_at_{N_RECS}")
 
 
+def q_grid_log(spark, sf):
+    """Grid over the item-item generator with a log: a first search of two models, then the whole grid, which takes these from the log."""
+    f = Frame(spark, sf)
+    counts = user_item_matrix(f.train, "count")
+    weights = {"binary": f.train_matrix, "tfidf": tfidf(counts), "bm25": bm25(counts)}
+    configs = [dict(k_neighbours=20, weighting="binary"), dict(k_neighbours=5, weighting="binary"),
+               dict(k_neighbours=20, weighting="tfidf"), dict(k_neighbours=20, weighting="bm25")]
+
+    def build(cfg):
+        mat, k = weights[cfg["weighting"]], cfg["k_neighbours"]
+        nb = f.neighbours if (cfg["weighting"], k) == ("binary", K_NEIGHBOURS) else item_item_neighbours(mat, k)
+        return item_item_recs(mat, nb, N_RECS, f.val_users)
+
+    log = f"{ensure_checkpoint_dir(spark)}/grid-{uuid.uuid4().hex}"
+    name = lambda c: "ii_k{k_neighbours}_{weighting}".format(**c)
+    for part in (configs[:2], configs):
+        rep = grid_report(part, build, f.truth, f.val_users, N_RECS, model_id=name, log=log)
+    best = mark_best(rep, f"precision_at_{N_RECS}")
+    return best.select("model_id", F.col("k_neighbours").cast("bigint").alias("k_neighbours"), "weighting",
+                       r6(f"precision_at_{N_RECS}"), r6(f"map_at_{N_RECS}"), "is_best")
+
+
+def q_newton_ranker_check(spark, sf):
+    """The second-level classifier by Newton steps on the whole training frame: rows, positives, and whether the optimum was reached
+    (largest gradient per row below 1e-8)."""
+    f = Frame(spark, sf)
+    cands = f.item_item(N_CANDIDATES, users=f.level2.select("user_id").distinct())
+    m = fit_ranker(cands, f.level2, f.train, _item_types(f), LEVEL2_START, kind="newton").model
+    return spark.createDataFrame([(m.n_rows, m.n_positive, m.largest_gradient < 1e-8)], "n_rows bigint, n_positive bigint, optimal boolean")
+
+
 def q_fm_grid(spark, sf):
     f = Frame(spark, sf)
     cands = f.item_item(50).persist()
@@ -654,6 +685,8 @@ QUERIES: dict[str, Query] = {
     "level_comparison": q_level_comparison,
     "als_grid": q_als_grid,
     "fm_grid": q_fm_grid,
+    "grid_log": q_grid_log,
+    "newton_ranker_check": q_newton_ranker_check,
     "quality_gate": q_quality_gate,
     "chunk_manifest_reference": q_chunk_manifest_reference,
     "als_similar_items": q_als_similar_items,
