@@ -82,14 +82,14 @@ SET_SCHEMA = "doc_id long, set_key binary, shingles array<long>"
 _SET = pa.schema([("doc_id", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
-def pieces(batches):
+def pieces(batches, piece: int = PIECE):
     """Bounded lists of (ids, texts)."""
     for batch in batches:
         ids, texts, size = [], [], 0
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                if ids and size + len(t) > PIECE:
+                if ids and size + len(t) > piece:
                     yield ids, texts
                     ids, texts, size = [], [], 0
                 ids.append(i)

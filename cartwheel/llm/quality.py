@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_crc, scratch, utf8
-from .minhash_dedup import PIECE, pieces
+from .minhash_dedup import pieces
 from .textmath import IS_SPACE, MIX1, U, Words, mix
 
 ONE = 1 << 12  # fixed-point unit of a feature
+PIECE = 1 << 18  # bytes of text worked on at once (more if one text is longer): a worker holds about forty times as much
 
 
 def _byte_set(chars: str) -> np.ndarray:
@@ -93,7 +94,7 @@ _FEATS = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.int64()))])
 
 
 def _featurise(batches):
-    for ids, texts in pieces(batches):
+    for ids, texts in pieces(batches, PIECE):
         x = np.rint(features(texts) * ONE).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(x.tolist(), _FEATS[1].type)], schema=_FEATS)
 
