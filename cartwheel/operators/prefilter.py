@@ -17,16 +17,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_money
+from ..functions.money import MONEY_SCALE, exact_money
 from ..functions.prefix import global_row_number
 
 
 MAX_BROADCAST_ITEMS = 1_000_000  # a top_n up to this many (id, flag) rows is sent to all tasks
 
 
-def item_stats(inter: DataFrame) -> DataFrame:
+def item_stats(inter: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     per_pair = inter.groupBy("item_id", "user_id").agg(
-        F.sum("quantity").alias("q"), F.sum(exact_money("sales_value")).alias("s"),
+        F.sum("quantity").alias("q"), F.sum(exact_money("sales_value", scale)).alias("s"),
         F.max("week_no").alias("lw"))
     # money is summed exactly (DECIMAL) so ratios do not depend on summation order
     return per_pair.groupBy("item_id").agg(
@@ -36,11 +36,11 @@ def item_stats(inter: DataFrame) -> DataFrame:
 
 def kept_items(inter: DataFrame, top_n: int | None = None, lo_share: float | None = None,
                hi_share: float | None = None, active_weeks: int | None = None,
-               min_price: float | None = None, max_price: float | None = None) -> DataFrame:
+               min_price: float | None = None, max_price: float | None = None, scale: int = MONEY_SCALE) -> DataFrame:
     """Items passing every rule: ``item_id, n_users, quantity, unit_price, last_week, qty_rank``."""
     glob = inter.agg(F.countDistinct("user_id").alias("n"), F.max("week_no").alias("w")).collect()[0]
     n_users, max_week = int(glob["n"] or 0), int(glob["w"] or 0)
-    st = item_stats(inter).withColumn(
+    st = item_stats(inter, scale).withColumn(
         "unit_price", F.when(F.col("quantity") != 0, F.col("sales") / F.col("quantity")))
     cond = F.lit(True)
     if hi_share is not None:

@@ -11,9 +11,10 @@ from cartwheel.functions.money import money_sum
 from cartwheel.functions.prefix import global_cumsum, global_row_number
 from cartwheel.functions.weights import weigh
 from cartwheel.operators.factor import fit_als
-from cartwheel.operators.features import user_features
+from cartwheel.operators.features import feature_frame, user_features
 from cartwheel.operators.hybrid import fit_hybrid_fm, negative_pairs
 from cartwheel.operators.item_item import _blocked
+from cartwheel.operators.prefilter import kept_items
 from cartwheel.plans.recommender import Recommender
 from cartwheel.plans.selection import param_grid
 from cartwheel.sources.csv_table import read_csv_table
@@ -96,6 +97,19 @@ def test_money_beyond_its_scale_fails_instead_of_being_rounded(spark):
     assert spark.createDataFrame([(1.255,)], "v double").agg(money_sum("v", 3)).first()[0] == 1.255
 
 
+def test_money_scale_reaches_features_and_prefilter(spark):
+    hist = spark.createDataFrame([(1, 1, 7, 0, 2.0, 1.255), (1, 2, 8, 1, 1.0, 0.005)], "user_id long, basket_id long, item_id long, week_no int, quantity double, sales_value double")
+    types = spark.createDataFrame([(7, "a"), (8, "b")], "item_id long, type string")
+    cands = spark.createDataFrame([(1, 7, 0.5, 1)], "user_id long, item_id long, score double, rank long")
+    with pytest.raises(Exception):
+        kept_items(hist).collect()
+    assert sorted((r.item_id, r.unit_price) for r in kept_items(hist, scale=3).collect()) == [(7, 0.6275), (8, 0.005)]
+    x, _ = feature_frame(cands, hist, types, 2, scale=3)
+    row = x.first()
+    assert (row.mean_basket_value, row.mean_price, row.item_mean_price) == (0.63, 0.42, 0.6275)
+    assert row.type_spend_share == 1.255 / 1.26
+
+
 def test_binary_weights_are_one(spark):
     mat = spark.createDataFrame([(1, 1, 7.0)], "user_id bigint, item_id bigint, weight double")
     assert weigh(mat, "binary").first()["weight"] == 1.0 and weigh(mat, "none").first()["weight"] == 7.0
