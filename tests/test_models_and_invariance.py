@@ -107,3 +107,14 @@ def test_quality_gate(spark):
     means = spark.createDataFrame([(5, 0.3), (10, 0.1)], "k int, precision double")
     row = quality_gate(means, "precision", 5, 0.22).collect()[0]
     assert row["passes"] is True and row["value"] == 0.3
+
+
+def test_hybrid_on_one_item(spark):
+    # a collapsed history may hold the fake item alone: one factor vector is one cluster
+    from cartwheel.operators.hybrid import fit_hybrid_fm
+    pos = spark.createDataFrame([(u, 999) for u in range(6)], "user_id bigint, item_id bigint")
+    users = spark.createDataFrame([(u, "S", u % 2) for u in range(6)], "user_id bigint, segment string, nation_key int")
+    items = spark.createDataFrame([(i, f"B{i % 2}", "T", i) for i in range(4)], "item_id bigint, brand string, type string, size int")
+    als = fit_als(pos.withColumn("weight", F.lit(1.0)), factors=2, iterations=2)
+    fm = fit_hybrid_fm(pos, users, items, als, factor_size=2, max_iter=2)
+    assert sorted((r["user_id"], r["item_id"], r["rank"]) for r in fm.rerank(pos, 3).collect()) == [(u, 999, 1) for u in range(6)]
