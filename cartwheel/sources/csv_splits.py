@@ -5,9 +5,10 @@ file to one task. Here files are read as lines (split at any byte offset), and w
 
 1. the quotes of a line say in which state (inside quotes or not) it ends, for either state it may begin in: always outside, always
    inside, as begun, or the opposite. States are folded over the pieces between quotes, without Python;
-2. inside a split the last line that forgets its beginning and the parity of the swaps since give the state of every line as a
-   function of the split's own beginning; one row a split, in file order, then fixes the beginnings;
-3. a line that begins and ends outside is a record. Only lines of longer records are grouped, by the line their record began at.
+2. inside a run (65,536 lines of a split at most) the last line that forgets its beginning and the parity of the swaps since give the
+   state of every line as a function of the run's own beginning; one row a run, in file order, then fixes the beginnings;
+3. a line that begins and ends outside is a record. Only lines of longer records are grouped, by the line their record began at, in
+   their run first.
 
 A quote opens a field only at its start; a doubled quote inside is text. A file whose quote never closes has one record from there to its
 end, as in every reader, and that record is one row. Fields of a record are parsed by ``from_csv`` with the options of ``read_csv_table``;
@@ -20,9 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Position of a record: its file, the byte offset of the split it begins in, its line in the split.
+#: Position of a record: its file, the byte offset of the split it begins in, its place there (ascending).
 FILE_ORDER = ("_file", "_block", "_line")
 
+RUN_BITS = 16  # lines of a split are worked on in runs of 2 ** RUN_BITS at most
+TASK_BYTES = 16 << 20  # text of a task once lines are dealt to runs
+_POSITIONS = (1 << 33) - 1  # place in the task, of a monotonically increasing id
+
 _OUTSIDE, _INSIDE, _CLOSED, _START = 0, 1, 2, 3
 
 
@@ -38,68 +43,83 @@ def _end_state(line: Column, begin: int) -> Column:
     return (F.aggregate(before, F.lit(begin), step) == _INSIDE).cast("int")
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """``_file, _f, _bytes``: a row for each file below ``path``, out of the listing; no content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select(F.col("_metadata.file_path").alias("_file"), F.xxhash64("_metadata.file_path").alias("_f"), F.col("length").alias("_bytes"))
+
+
 def file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``_file, _block, _line, value``: the lines of all files below ``path`` (UTF-8, cut at line feeds), numbered in their split."""
+    """``_file, _block, _line, value``: the lines of all files below ``path`` (UTF-8, cut at line feeds). ``_line`` ascends in a split."""
     raw = spark.read.options(lineSep="\n", recursiveFileLookup="true").text(path)
-    at = raw.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                    F.monotonically_increasing_id().alias("_pos"), "value")
-    w = Window.partitionBy("_file", "_block").orderBy("_pos")  # a split of a file at most
-    return at.withColumn("_line", F.row_number().over(w).cast("bigint")).drop("_pos")
+    return raw.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITIONS)).alias("_line"), "value")
 
 
 def file_records(spark: SparkSession, path: str) -> DataFrame:
     """``_file, _block, _line, record, is_first``: one row a record, line breaks inside quotes kept; ``is_first`` marks the first record of
     each file that is not empty. Empty lines outside quotes are records of no text."""
-    lines = file_lines(spark, path)
+    files = _files(spark, path)
+    size = files.agg(F.sum("_bytes")).first()[0] or 0
+    # sorts and window buffers hold a run or a task's share, not a split, and lines carry a hash of the path, not the path
+    run_of = ["_f", "_block", "_part"]
+    lines = file_lines(spark, path).withColumn("_f", F.xxhash64("_file")).withColumn("_part", F.shiftright("_line", RUN_BITS)).drop("_file")
     quoted = F.instr("value", '"') > 0
     lines = lines.withColumn("_t0", F.when(quoted, _end_state(F.col("value"), _START)).otherwise(0)) \
-        .withColumn("_t1", F.when(quoted, _end_state(F.col("value"), _INSIDE)).otherwise(1))
-    w = Window.partitionBy("_file", "_block").orderBy("_line")
+        .withColumn("_t1", F.when(quoted, _end_state(F.col("value"), _INSIDE)).otherwise(1)) \
+        .repartition(size // TASK_BYTES + 1, *run_of)
+    w = Window.partitionBy(*run_of).orderBy("_line")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lines = lines.withColumn("_swaps", F.sum((F.col("_t0") > F.col("_t1")).cast("int")).over(run))
     fixed = F.when(F.col("_t0") == F.col("_t1"), F.struct(F.col("_t0").alias("state"), F.col("_swaps").alias("swaps")))
     lines = lines.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(run))
-    # the state after the line: ``_known`` says whether it is ``_after`` itself or the split's beginning moved by ``_after``
+    # the state after the line: ``_known`` says whether it is ``_after`` itself or the run's beginning moved by ``_after``
     lines = (lines.withColumn("_known", F.col("_fixed").isNotNull())
              .withColumn("_after", F.when(F.col("_known"), (F.col("_fixed.state") + F.col("_swaps") - F.col("_fixed.swaps")) % 2)
                          .otherwise(F.col("_swaps") % 2))
              .withColumn("_known_before", F.lag("_known", 1, False).over(w)).withColumn("_before", F.lag("_after", 1, 0).over(w)))
 
-    # one row a split: how it ends, where its last record begins for either beginning, its first line with text
+    # one row a run: how it ends, where its last record begins for either beginning, its first line with text
     opens = lambda s: F.max(F.when(_state("_known_before", "_before", F.lit(s)) == 0, F.col("_line")))
-    splits = lines.groupBy("_file", "_block").agg(
+    runs = lines.groupBy(*run_of).agg(
         F.max_by(F.struct("_known", "_after"), "_line").alias("_end"), opens(0).alias("_open0"), opens(1).alias("_open1"),
         F.min(F.when(F.trim(F.col("value")) != "", F.col("_line"))).alias("_text"))
-    by_file = Window.partitionBy("_file").orderBy("_block")
+    by_file = Window.partitionBy("_f").orderBy("_block", "_part")
     run = by_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    splits = splits.withColumn("_odd", F.when(~F.col("_end._known"), F.col("_end._after")).otherwise(0)) \
+    runs = runs.withColumn("_odd", F.when(~F.col("_end._known"), F.col("_end._after")).otherwise(0)) \
         .withColumn("_swaps", F.sum("_odd").over(run))
     known = F.when(F.col("_end._known"), F.struct(F.col("_end._after").alias("state"), F.col("_swaps").alias("swaps")))
-    splits = splits.withColumn("_fixed", F.last(known, ignorenulls=True).over(run))
+    runs = runs.withColumn("_fixed", F.last(known, ignorenulls=True).over(run))
     ends = (F.coalesce(F.col("_fixed.state"), F.lit(0)) + F.col("_swaps") - F.coalesce(F.col("_fixed.swaps"), F.lit(0))) % 2
-    splits = splits.withColumn("_ends", ends).withColumn("_in", F.lag("_ends", 1, 0).over(by_file))
+    runs = runs.withColumn("_ends", ends).withColumn("_in", F.lag("_ends", 1, 0).over(by_file))
     opened = F.when(F.col("_in") == 0, F.col("_open0")).otherwise(F.col("_open1"))
-    splits = splits.withColumn("_opened", F.when(opened.isNotNull(), F.struct(F.col("_block").alias("block"), opened.alias("line"))))
-    splits = splits.withColumn("_carried", F.last("_opened", ignorenulls=True).over(
+    runs = runs.withColumn("_opened", F.when(opened.isNotNull(), F.struct(F.col("_block").alias("block"), opened.alias("line"))))
+    runs = runs.withColumn("_carried", F.last("_opened", ignorenulls=True).over(
         by_file.rowsBetween(Window.unboundedPreceding, -1)))
-    head = F.min(F.when(F.col("_text").isNotNull(), F.struct("_block", F.col("_text")))).over(Window.partitionBy("_file"))
-    splits = splits.withColumn("_head", head).select("_file", "_block", "_in", "_carried", "_head")
+    head = F.min(F.when(F.col("_text").isNotNull(), F.struct("_block", F.col("_text")))).over(Window.partitionBy("_f"))
+    runs = runs.withColumn("_head", head).select(*run_of, "_in", "_carried", "_head")
 
-    lines = lines.join(splits, ["_file", "_block"]) \
+    lines = lines.join(runs, run_of) \
         .withColumn("_begin", _state("_known_before", "_before", F.col("_in"))) \
         .withColumn("_finish", _state("_known", "_after", F.col("_in")))
-    here = F.last(F.when(F.col("_begin") == 0, F.struct(F.col("_block").alias("block"), F.col("_line").alias("line"))),
-                  ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lines = lines.withColumn("_rec", F.coalesce(here, F.col("_carried")))
+    here = F.last(F.when(F.col("_begin") == 0, F.col("_line")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    is_first = F.coalesce((F.col("_block") == F.col("_head._block")) & (F.col("_line") == F.col("_head._text")), F.lit(False))
+    lines = lines.withColumn("_here", here).withColumn("is_first", is_first)
     single = (F.col("_begin") == 0) & (F.col("_finish") == 0)
-    one = lines.where(single).select("_file", "_block", "_line", F.col("value").alias("record"), "_head")
-    long = lines.where(~single).groupBy("_file", F.col("_rec.block").alias("_b"), F.col("_rec.line").alias("_l")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_block", "_line", "value"))), lambda x: x["value"]), "\n").alias("record"),
-        F.first("_head").alias("_head")).select("_file", F.col("_b").alias("_block"), F.col("_l").alias("_line"), "record", "_head")
-    out = one.unionByName(long)
-    is_first = (F.col("_block") == F.col("_head._block")) & (F.col("_line") == F.col("_head._text"))
-    return out.select("_file", "_block", "_line", F.regexp_replace("record", "\r$", "").alias("record"),
-                      F.coalesce(is_first, F.lit(False)).alias("is_first"))
+    one = lines.where(single).select("_f", "_block", "_line", F.col("value").alias("record"), "is_first")
+    # a run's lines of a record are put together where they are; only records that go on in another run are shuffled
+    texts = lambda c: F.array_join(F.transform(F.sort_array(c), lambda x: x["value"]), "\n")
+    parts = lines.where(~single).groupBy(*run_of, "_here").agg(
+        texts(F.collect_list(F.struct("_line", "value"))).alias("value"), F.max_by("_finish", "_line").alias("_finish"),
+        F.first("_carried").alias("_carried"), F.max("is_first").alias("is_first"))
+    whole = F.col("_here").isNotNull() & (F.col("_finish") == 0)
+    inside = parts.where(whole).select("_f", "_block", F.col("_here").alias("_line"), F.col("value").alias("record"), "is_first")
+    begun = F.when(F.col("_here").isNotNull(), F.struct(F.col("_block").alias("block"), F.col("_here").alias("line"))).otherwise(F.col("_carried"))
+    long = parts.where(~whole).withColumn("_rec", begun).groupBy("_f", F.col("_rec.block").alias("_b"), F.col("_rec.line").alias("_l")).agg(
+        texts(F.collect_list(F.struct("_block", "_part", "value"))).alias("record"), F.max("is_first").alias("is_first")) \
+        .select("_f", F.col("_b").alias("_block"), F.col("_l").alias("_line"), "record", "is_first")
+    out = one.unionByName(inside).unionByName(long).join(F.broadcast(files.select("_f", "_file")), "_f")  # a row a file, as the driver lists them
+    return out.select("_file", "_block", "_line", F.regexp_replace("record", "\r$", "").alias("record"), "is_first")
 
 
 def _state(known: str, value: str, begin: Column) -> Column:

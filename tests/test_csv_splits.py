@@ -8,6 +8,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from cartwheel.sources import csv_splits
 from cartwheel.sources.chunks import chunk_manifest, chunk_rows, write_chunks
 from cartwheel.sources.csv_splits import FILE_ORDER, file_lines
 from cartwheel.sources.csv_table import read_csv_table
@@ -112,3 +113,23 @@ def test_parquet_chunks_without_a_key(spark):
     assert seen[0] == seen[1]
     man = write_chunks(spark.read.parquet(d), _folder() + "/out", 2500)
     assert sorted(r["n_rows"] for r in man.collect()) == [2500, 2500]
+
+
+def test_runs_inside_a_split(spark, monkeypatch):
+    """One split, many runs: records that go over runs, or over many of them, come out whole and in order."""
+    rows = _random_rows(11, 300) + [("300", "\n".join(f'l "{i}", x' for i in range(200)), "z")] + [(str(i), "a\nb", "") for i in range(301, 400)]
+    path = _write(os.path.join(_folder(), "with space.csv"), rows)
+    monkeypatch.setattr(csv_splits, "RUN_BITS", 4)
+    monkeypatch.setattr(csv_splits, "TASK_BYTES", 4096)
+    got = read_csv_table(spark, path, splits=True, positions=True).orderBy(*FILE_ORDER).collect()
+    assert [tuple(r[c] or "" for c in ("id", "note", "more")) for r in got] == rows
+    assert len({r["_block"] for r in got}) == 1 and len({r["_file"] for r in got}) == 1
+
+
+def test_lines_are_sorted_in_runs_and_carry_no_path(spark):
+    """What a sort or a window holds is a run of a split, not a split, and no copy of the path (csv_splits over 60 times sf0.1 ran out of memory)."""
+    path = _write(os.path.join(_folder(), "t.csv"), _random_rows(12, 50))
+    plan = csv_splits.file_records(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and not any("_file" in x for x in windows)
+    assert any("_part" in x for x in windows)
