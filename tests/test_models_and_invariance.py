@@ -118,3 +118,24 @@ def test_hybrid_on_one_item(spark):
     als = fit_als(pos.withColumn("weight", F.lit(1.0)), factors=2, iterations=2)
     fm = fit_hybrid_fm(pos, users, items, als, factor_size=2, max_iter=2)
     assert sorted((r["user_id"], r["item_id"], r["rank"]) for r in fm.rerank(pos, 3).collect()) == [(u, 999, 1) for u in range(6)]
+
+
+def test_hybrid_models_of_one_data_share_its_features(spark, monkeypatch):
+    """A grid encodes pairs and candidates once, and lists are those of a model that encodes them itself (fm_grid did both for each model)."""
+    from pyspark.ml.feature import StringIndexer
+
+    from cartwheel.operators.factor import fit_als
+    from cartwheel.operators.hybrid import fit_hybrid_fm, hybrid_data
+    pos = spark.createDataFrame([(u, (u * 3 + k) % 11) for u in range(8) for k in range(3)], "user_id long, item_id long")
+    users = spark.createDataFrame([(u, "ab"[u % 2], u % 3) for u in range(8)], "user_id long, segment string, nation_key int")
+    items = spark.createDataFrame([(i, "xy"[i % 2], "t", i % 4) for i in range(11)], "item_id long, brand string, type string, size int")
+    als = fit_als(pos.withColumn("weight", F.lit(1.0)), factors=2, iterations=2)
+    fits, real = [], StringIndexer._fit
+    monkeypatch.setattr(StringIndexer, "_fit", lambda self, df: (fits.append(1), real(self, df))[1])
+    data = hybrid_data(pos, users, items, als, clusters=2)
+    known = data.features(pos).persist()
+    for size in (2, 3):
+        fm = fit_hybrid_fm(pos, users, items, als, data=data, factor_size=size, max_iter=2)
+        lists = [sorted(map(tuple, fm.rerank(c, 2).collect())) for c in (known, pos)]
+        assert lists[0] == lists[1] and len(lists[0]) == 16
+    assert len(fits) == 1
