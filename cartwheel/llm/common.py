@@ -34,6 +34,12 @@ def id_crc(col: str | Column) -> Column:
     return F.crc32(F.encode((F.col(col) if isinstance(col, str) else col).cast("string"), "utf-8"))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is shuffled whatever size Spark expects. That size is the one of compressed files; a table
+    just below ``spark.sql.autoBroadcastJoinThreshold`` can take twenty times as much as a hash table, which the driver would build."""
+    return df.hint("merge")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
     """``rows`` inner-joined with ``groups`` (one row per key; ``size``: its number of rows).
 
@@ -44,7 +50,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     hot = F.col(size) * HOT_SHARE > F.lit(int(total))
     heavy = F.broadcast(groups.where(hot))
     rest = rows.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti")
-    return rows.join(heavy, key).unionByName(rest.join(groups.where(~hot), key))
+    return rows.join(heavy, key).unionByName(rest.join(shuffled(groups.where(~hot)), key))
 
 
 def numbered(rows: DataFrame, group: str, key: list[str], out: str, n_rows: int, per_bucket: int = 1024) -> DataFrame:

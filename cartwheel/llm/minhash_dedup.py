@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, scratch, utf8
+from .common import join_groups, scratch, shuffled, utf8
 from .textmath import MIX1, STEP_A, STEP_B, U, Words, mix
 
 PIECE = 2 << 20  # bytes of text worked on at once
@@ -147,9 +147,9 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        small = large.join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         e = scratch(small.where("a <> b").distinct(), "star")
     return e.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node")
 
@@ -175,13 +175,13 @@ class Linker:
         if self.labels is None:
             return rows.withColumn("label", F.col("ck"))
         known = self.labels.select(F.col("node").alias("ck"), "label")
-        return rows.join(known, "ck", "left").withColumn("label", F.coalesce("label", "ck"))
+        return rows.join(shuffled(known), "ck", "left").withColumn("label", F.coalesce("label", "ck"))
 
     def open_rows(self) -> DataFrame:
         """Members of the keys that still hold several components."""
         rows = self.labelled(self.members)
         keys = rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
-        return rows.join(keys, "key", "left_semi")
+        return rows.join(shuffled(keys), "key", "left_semi")
 
     def verify(self, pairs: DataFrame) -> None:
         """Take over the pairs that are linked."""
@@ -207,27 +207,27 @@ class Linker:
             if self.sketch is None and left <= pairs_per_row * n:
                 return self.verify(self.between(rows))
             pivots = scratch(self.pivots(rows), "pivots")
-            pairs = rows.join(pivots, "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
+            pairs = rows.join(shuffled(pivots), "key").where((F.col("ck") != F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
             self.verify(pairs.select(F.least("ck", "b").alias("a"), F.greatest("ck", "b").alias("b")).distinct())
             # a pivot has met all others of its key; it has no more to find there
-            rest = rows.select("key", "ck", "n").join(pivots.select("key", F.col("b").alias("ck")), ["key", "ck"], "left_anti")
+            rest = rows.select("key", "ck", "n").join(shuffled(pivots.select("key", F.col("b").alias("ck"))), ["key", "ck"], "left_anti")
             self.members = scratch(rest, "members")
             if self.sketch is not None:
                 own = scratch(self.sketch(self.open_rows().select("ck").distinct()), "sketches")
-                self.members = scratch(self.coarse.join(own, "ck").where(self.hopeful), "members")
+                self.members = scratch(self.coarse.join(shuffled(own), "ck").where(self.hopeful), "members")
                 self.sketched = True
 
     def pivots(self, rows: DataFrame) -> DataFrame:
         """Of each key, the member with most company in all its keys."""
         company = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        weight = rows.join(company, "key").groupBy("ck").agg(F.sum("c").alias("w"))
-        best = rows.join(weight, "ck").groupBy("key").agg(F.max(F.struct("w", "ck", "n", "label")).alias("p"))
+        weight = rows.join(shuffled(company), "key").groupBy("ck").agg(F.sum("c").alias("w"))
+        best = rows.join(shuffled(weight), "ck").groupBy("key").agg(F.max(F.struct("w", "ck", "n", "label")).alias("p"))
         return best.select("key", F.col("p.ck").alias("b"), F.col("p.n").alias("m"), F.col("p.label").alias("lb"))
 
     def between(self, rows: DataFrame) -> DataFrame:
         """The pairs of a key in different components that the sizes leave."""
         other = rows.select("key", F.col("ck").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"))
-        pairs = rows.join(other, "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
+        pairs = rows.join(shuffled(other), "key").where((F.col("ck") < F.col("b")) & (F.col("label") != F.col("lb")) & self.fits(F.col("n"), F.col("m")))
         return pairs.select(F.col("ck").alias("a"), "b").distinct()
 
 
@@ -237,7 +237,7 @@ BLOCK = 1024  # members of a key that are compared with as many others in one st
 
 def _bins(classes: DataFrame, sets: DataFrame) -> DataFrame:
     """ck, s, x: number of those shingles of each of the classes that any other of them has, too, in all and by hash bin (packed)."""
-    shingles = sets.join(classes, "ck", "left_semi").select("ck", F.explode("shingles").alias("s"))
+    shingles = sets.join(shuffled(classes), "ck", "left_semi").select("ck", F.explode("shingles").alias("s"))
     once = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("ck").alias("ck")).where("c = 1")
     signed = shingles.withColumn("w", F.lit(1)).unionByName(once.select("ck", "s", F.lit(-1).alias("w"))).withColumn("bin", F.pmod("s", F.lit(BINS)))
     counts = [F.coalesce(F.sum(F.when(F.col("bin") == k, F.col("w"))), F.lit(0)).alias(f"b{k}") for k in range(BINS)]
@@ -250,7 +250,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     blocks, each pair of blocks a group. ``side`` is -1 where all members of a key meet, else the block."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     small = F.pmod(F.xxhash64("key"), F.lit(rows.count() // (16 * BLOCK) + 1))
-    n = rows.join(sizes, "key").withColumn("nb", F.expr(f"cast((c + {BLOCK} - 1) div {BLOCK} as int)")).withColumn("side", F.pmod(F.xxhash64("ck"), F.col("nb")).cast("int"))
+    n = rows.join(shuffled(sizes), "key").withColumn("nb", F.expr(f"cast((c + {BLOCK} - 1) div {BLOCK} as int)")).withColumn("side", F.pmod(F.xxhash64("ck"), F.col("nb")).cast("int"))
     single = n.where("nb = 1").select(small.cast("string").alias("g"), F.lit(0).alias("p"), F.lit(0).alias("q"), "key", F.lit(-1).alias("side"), "ck", "n", "label", "s", "x")
     split = n.where("nb > 1").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     split = split.select(F.concat(F.lit("k"), F.col("key").cast("string")).alias("g"), F.least("side", "o").alias("p"), F.greatest("side", "o").alias("q"), "key", "side", "ck", "n", "label", "s", "x")
@@ -303,7 +303,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     left = sets.select(F.col("ck").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("ck").alias("b"), F.col("shingles").alias("sb"))
-    tested = pairs.join(left, "a").join(right, "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
+    tested = pairs.join(shuffled(left), "a").join(shuffled(right), "b").withColumn("c", F.size(F.array_intersect("sa", "sb")))
     return tested.where(100 * F.col("c") >= percent * (F.size("sa") + F.size("sb") - F.col("c"))).select("a", "b")
 
 
@@ -322,23 +322,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
     classes = scratch(grouped.groupBy(F.col("set_key").alias("ck")).agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("size")), "classes")
     half = classes.select("ck", "n", F.posexplode("halves").alias("slot", "half"))
     shared = half.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    sides = scratch(half.join(shared, "half", "left_semi").groupBy("ck", "n").agg(
+    sides = scratch(half.join(shuffled(shared), "half", "left_semi").groupBy("ck", "n").agg(
         F.collect_list(F.when(F.col("slot") < groups, F.col("half"))).alias("u"), F.collect_list(F.when(F.col("slot") >= groups, F.col("half"))).alias("v")), "halves")
     coarse = sides.select("ck", "n", F.explode("u").alias("key"), "v")
     keyed = coarse.select("ck", "n", F.col("key").alias("u"), F.explode("v").alias("v")).select(F.xxhash64("u", "v").alias("key"), "ck", "n")
     pairable = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = scratch(keyed.join(pairable, "key", "left_semi"), "members")
-    wanted = members.select("ck").distinct().join(classes.select("ck", "rep"), "ck")
+    members = scratch(keyed.join(shuffled(pairable), "key", "left_semi"), "members")
+    wanted = members.select("ck").distinct().join(shuffled(classes.select("ck", "rep")), "ck")
     wanted = scratch(wanted, "wanted")
-    mine = texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(shingle), SET_SCHEMA)
-    sets = mine.join(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    mine = texts.join(shuffled(wanted.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi").mapInArrow(_sets(shingle), SET_SCHEMA)
+    sets = mine.join(shuffled(wanted.select(F.col("ck").alias("set_key"), F.col("rep").alias("doc_id"))), ["set_key", "doc_id"], "left_semi")
     sets = scratch(sets.dropDuplicates(["set_key"]).select(F.col("set_key").alias("ck"), "shingles"), "sets")
     linker = Linker(members, lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m), lambda pairs: _similar(pairs, sets, percent), lambda classes: _bins(classes, sets),
                     lambda rows: pairs_in_blocks(rows, *_can_share(percent), BINS), f"100 * s >= {percent} * n", coarse.select("key", "ck", "n"))
     linker.run()
     labelled = linker.labelled(classes.select("ck", "rep", "size"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
-    decided = scratch(labelled.join(least, "label").select(F.col("ck").alias("set_key"), "component_id", "size"), "components")
+    decided = scratch(labelled.join(shuffled(least), "label").select(F.col("ck").alias("set_key"), "component_id", "size"), "components")
     linked = join_groups(grouped.select("doc_id", "n_shingles", "set_key"), decided, "set_key", "size").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -347,4 +347,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, rows:
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
     """All columns of the documents that stay, one of each component (see ``near_duplicates``)."""
     gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(shuffled(gone), docs["doc_id"] == gone["_gone"], "left_anti")

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from cartwheel.llm import common, minhash_dedup
 from cartwheel.llm.line_dedup import MIN_CHARS, drop_lines, line_dedup, within
 from cartwheel.llm.minhash_dedup import components, distinct_documents, groups_for, near_duplicates
 
@@ -73,6 +74,29 @@ def test_a_large_group_linked_through_its_base_only(documents):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=str) == brute_near(rows, 3, 85)
 
 
+def plan_of(df):
+    """The plan as it ran, with joins that adaptive execution turned into broadcasts."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_table_that_grows_with_the_documents_is_broadcast(documents, monkeypatch):
+    """All tables here are far below Spark's broadcast limit; only the few hot groups of the last join may go through the driver."""
+    plans = {}
+
+    def stored(df, label):
+        plans.setdefault(label, []).append(plan_of(df))
+        return common.scratch(df, label)
+
+    monkeypatch.setattr(minhash_dedup, "scratch", stored)
+    last = plan_of(near_duplicates(documents(near_rows(3))))
+    assert {"halves", "members", "sets", "open", "pivots", "links", "star", "sketches", "components"} <= set(plans)
+    assert [label for label, found in plans.items() if any("BroadcastHashJoin" in p for p in found)] == []
+    assert "SortMergeJoin" in last and last.count("BroadcastHashJoin") <= 4  # two, in the plan as run and as first made
+    kept = plan_of(distinct_documents(documents(near_rows(3))))
+    assert re.search(r"SortMergeJoin.*LeftAnti", kept)
+
+
 def test_distinct_documents_keep_all_columns(documents):
     docs = documents(near_rows(5))
     kept = distinct_documents(docs)
